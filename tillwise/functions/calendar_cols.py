@@ -48,16 +48,15 @@ def time_slot(
 
 def with_calendar(df: DataFrame, ts: str = "transaction_ts") -> DataFrame:
     """Add every calendar column. Unused ones cost nothing: Catalyst drops them."""
-    return df.withColumns(
-        {
-            "txn_year": F.year(ts),
-            "txn_month": F.month(ts),
-            "txn_quarter": F.quarter(ts),
-            "quarter_label": quarter_label(F.quarter(ts)),
-            "txn_date": day_text(ts),
-            "txn_hour": F.hour(ts),
-            "txn_day_of_week": F.dayofweek(ts),
-        }
+    return df.select(
+        "*",
+        F.year(ts).alias("txn_year"),
+        F.month(ts).alias("txn_month"),
+        F.quarter(ts).alias("txn_quarter"),
+        quarter_label(F.quarter(ts)).alias("quarter_label"),
+        day_text(ts).alias("txn_date"),
+        F.hour(ts).alias("txn_hour"),
+        F.dayofweek(ts).alias("txn_day_of_week"),
     )
 
 

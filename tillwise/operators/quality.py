@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,70 +170,73 @@ def duplicate_sample(df: DataFrame, top: int = 5) -> DataFrame:
     return duplicate_groups(df).orderBy(F.desc("count"), "transaction_id").limit(top)
 
 
-def _metrics(df: DataFrame, checks: list[Check], grouped: dict[str, DataFrame]) -> DataFrame:
-    """One row: `total` and one counter per check."""
+CHECK_LINES = (
+    "check_no int, check_category string, check_name string, metric string, severity string, "
+    "fail_share double, warn_share double, detail string, detail_if_clean string"
+)
+
+
+def _counts(df: DataFrame, checks: list[Check], grouped: dict[str, DataFrame]) -> DataFrame:
+    """(metric, value) rows: one per check, and `total`."""
     by_row = [c for c in checks if c.found is not None]
-    counts = df.agg(
+    counted = df.agg(
         F.count("*").alias("total"), *[F.count_if(c.found).alias(c.key) for c in by_row]
-    )
-    if not grouped:
-        return counts
-    # one (name, value) row per counter, so that the counters can be brought
-    # together without joining single-row tables
-    listed = counts.unpivot([], ["total", *[c.key for c in by_row]], "metric", "value")
+    ).unpivot([], ["total", *[c.key for c in by_row]], "metric", "value")
     for key, groups in grouped.items():
-        listed = listed.unionAll(
+        counted = counted.unionAll(
             groups.agg(F.count("*").alias("value")).select(F.lit(key).alias("metric"), "value")
         )
-    names = ["total", *[c.key for c in checks]]
-    return listed.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
+    return counted
 
 
 def _check_rows(
-    metrics: DataFrame, checks: list[Check], as_of: str | None, numbered_from: int = 1
+    df: DataFrame,
+    checks: list[Check],
+    as_of: str | None,
+    grouped: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """The one-row metrics as one row per check."""
-    rows = []
-    total = F.col("total")
-    for number, check in enumerate(checks, numbered_from):
-        count = F.col(check.key)
-        pct = F.when(total > 0, count / total * 100).otherwise(F.lit(0.0))
-        status = F.when(count > 0, check.severity).otherwise("PASS")
-        if check.fail_share is not None:
-            status = F.when(count > total * F.lit(check.fail_share), "FAIL").otherwise(status)
-        detail = F.lit(check.detail)
-        if check.detail_if_clean is not None:
-            detail = F.when(count > 0, detail).otherwise(check.detail_if_clean)
-        listed = F.lit(True)
-        if check.warn_share is not None:
-            limit = check.warn_share * 100
-            listed = pct > limit
-            detail = F.format_string(f"거절률 %.2f%% (기준: {limit:g}%% 이하)", pct)
-        rows.append(
-            F.struct(
-                F.lit(number).alias("check_no"),
-                F.lit(check.category).alias("check_category"),
-                F.lit(check.name).alias("check_name"),
-                status.alias("status"),
-                count.alias("issue_count"),
-                pct.alias("issue_pct"),
-                F.format_string("%.4f%%", pct).alias("issue_ratio"),
-                detail.alias("detail"),
-                listed.alias("_listed"),
+    """The check table: the counts looked up for each check's line."""
+    lines = df.sparkSession.createDataFrame(
+        [
+            (
+                number,
+                c.category,
+                c.name,
+                c.key,
+                c.severity,
+                c.fail_share,
+                c.warn_share,
+                c.detail,
+                c.detail if c.detail_if_clean is None else c.detail_if_clean,
             )
-        )
+            for number, c in enumerate(checks, 1)
+        ],
+        CHECK_LINES,
+    )
+    # every frame from here on has one row per check
+    total = F.max(F.when(F.col("metric") == "total", F.col("value"))).over(Window.partitionBy())
+    counts = _counts(df, checks, grouped or {}).withColumn("total_records", total)
+    count, total = F.col("value"), F.col("total_records")
+    pct = F.when(total > 0, count / total * 100).otherwise(F.lit(0.0))
+    limit = F.col("warn_share") * 100
     return (
-        metrics.select(total.alias("total_records"), F.inline(F.array(*rows)))
-        .filter("_listed")
+        lines.join(counts, "metric")
+        .filter(F.col("warn_share").isNull() | (pct > limit))
         .select(
             "check_no",
             "check_category",
             "check_name",
-            "status",
-            "issue_count",
-            "issue_pct",
-            "issue_ratio",
-            "detail",
+            F.when(count > total * F.col("fail_share"), "FAIL")
+            .when(count > 0, F.col("severity"))
+            .otherwise("PASS")
+            .alias("status"),
+            count.alias("issue_count"),
+            pct.alias("issue_pct"),
+            F.format_string("%.4f%%", pct).alias("issue_ratio"),
+            F.when(limit.isNotNull(), F.format_string("거절률 %.2f%% (기준: %.0f%% 이하)", pct, limit))
+            .when(count > 0, F.col("detail"))
+            .otherwise(F.col("detail_if_clean"))
+            .alias("detail"),
             "total_records",
             _now(as_of).alias("checked_at"),
         )
@@ -252,7 +255,7 @@ def quality_checks(df: DataFrame, rules: Rules = Rules(), as_of: str | None = No
         "duplicate_id": duplicate_groups(df),
         "double_payment": duplicate_groups(df, DOUBLE_PAYMENT_KEYS),
     }
-    return _check_rows(_metrics(df, checks, grouped), checks, as_of)
+    return _check_rows(df, checks, as_of, grouped)
 
 
 def business_rule_checks(
@@ -295,7 +298,7 @@ def business_rule_checks(
             ~day.between(F.lit(rules.date_from).cast("date"), F.lit(rules.date_to).cast("date")),
         ),
     ]
-    return _check_rows(_metrics(df, checks, {}), checks, as_of)
+    return _check_rows(df, checks, as_of)
 
 
 def unparseable_numbers(

@@ -76,10 +76,11 @@ class TableSpec:
     columns: str
     partition_by: tuple[str, ...] = ()
     comment: str = ""
+    few_rows_per_partition: bool = True  # an aggregate, at most some rows per directory
 
     @property
     def schema(self) -> T.StructType:
-        """The table's schema with columns comments; also pins partition column types."""
+        """The table's schema with column comments; also pins partition column types."""
         plain = T.StructType.fromDDL(self.columns)
         return T.StructType(
             [
@@ -101,7 +102,7 @@ _FACT_DDL = (
 
 TABLES: dict[str, TableSpec] = {
     "partitioned_transactions": TableSpec(
-        _FACT_DDL, ("txn_year", "txn_month"), "Approved transactions"
+        _FACT_DDL, ("txn_year", "txn_month"), "Approved transactions", few_rows_per_partition=False
     ),
     "daily_category_summary": TableSpec(
         "txn_date string, category string, txn_count bigint, unique_cards bigint, "

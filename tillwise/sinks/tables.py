@@ -15,20 +15,29 @@ def write_parquet(
     df: DataFrame,
     path: str,
     partition_by: tuple[str, ...] = (),
+    few_rows_per_partition: bool = False,
     only_touched_partitions: bool = False,
 ) -> None:
     """Overwrite `path` with snappy Parquet.
 
-    A partitioned write first rebalances on the partition columns: each directory
-    gets a few well-filled files instead of one per task, and a directory with
-    most of the rows is still split over several tasks. With
-    `only_touched_partitions` directories that `df` has no rows for are kept, so
-    one quarter can be re-run alone.
+    A partitioned write first gathers rows by the partition columns, so that a
+    directory does not get a file from every task. By default it rebalances: small
+    directories share a task and one with most of the rows is split over several.
+    With `few_rows_per_partition` (a summary by day, say) the cost is the number of
+    files, not bytes, and adaptive execution would merge everything into one
+    writer; a fixed hash spread then keeps all writers busy, one file per directory.
+
+    With `only_touched_partitions` directories that `df` has no rows for are kept,
+    so one quarter can be re-run alone.
     """
-    if partition_by:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    keys = [F.col(c) for c in partition_by]
+    if keys and few_rows_per_partition:
+        writers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(writers, *keys)
+    elif keys:
+        df = df.hint("rebalance", *keys)
     writer = df.write.mode("overwrite").option("compression", "snappy")
-    if partition_by:
+    if keys:
         writer = writer.partitionBy(*partition_by)
         mode = "dynamic" if only_touched_partitions else "static"
         writer = writer.option("partitionOverwriteMode", mode)
@@ -49,7 +58,9 @@ def write_output(
     path = f"{root}/{name}" if year is None else f"{root}/{year}/{name}"
     spec = TABLES[name]
     typed = df.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema.fields])
-    write_parquet(typed, path, spec.partition_by, only_touched_partitions)
+    write_parquet(
+        typed, path, spec.partition_by, spec.few_rows_per_partition, only_touched_partitions
+    )
     return path
 
 

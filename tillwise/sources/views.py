@@ -13,45 +13,71 @@ sort-merge by measured size and split hot keys.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.functions import expr
 
 from tillwise.domains import APPROVED, CANCELLED, CREDIT, DEBIT, DECLINED
 
-# o_orderstatus of each approval status
-STATUS_CODES = {APPROVED: "F", DECLINED: "O", CANCELLED: "P"}
+APPROVED_CODE = "F"
+STATUS_OF_CODE = {APPROVED_CODE: APPROVED, "O": DECLINED, "P": CANCELLED}
 INSTALLMENT_BY_LINE = {5: 3, 6: 6, 7: 12}
 
-TXN_COLUMNS = (
-    "transaction_id",
-    "transaction_ts",
-    "card_no",
-    "card_type",
-    "merchant",
-    "sub_category",
-    "category",
-    "amount",
-    "installment_months",
-    "approval_status",
-    "region",
-)
-FROM_ORDERS = {"transaction_ts", "card_no", "approval_status", "region"}
-FROM_PART = {"category", "sub_category"}
-FROM_SUPPLIER = {"merchant"}
+
+@lru_cache(maxsize=None)
+def _stored_schema(application: str, path: str) -> T.StructType:
+    return SparkSession.active().read.parquet(path).schema
 
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{data_dir}/{name}.parquet")
+    """An input table; its footers are asked for the schema once per application."""
+    path = f"{data_dir}/{name}.parquet"
+    schema = _stored_schema(spark.sparkContext.applicationId, path)
+    return spark.read.schema(schema).parquet(path)
 
 
-def mask_card(key: Column | str) -> Column:
-    return F.concat(F.lit("****-****-****-"), (F.lit(1000) + F.col(key) % 9000).cast("string"))
+def cents(column: str) -> str:
+    """Money as whole cents, so that sums are exact in any order.
+
+    The value has two decimals, so only the noise of the multiplication is removed;
+    `rint` does that in one instruction where `round` goes through a BigDecimal.
+    """
+    return f"cast(rint({column} * 100) as bigint)"
 
 
-def cents(value: Column | str) -> Column:
-    """Money as whole cents, so that sums are exact in any order."""
-    return F.round(F.col(value) * 100).cast("bigint")
+def mask_card(key: str) -> str:
+    return f"concat('****-****-****-', cast(1000 + {key} % 9000 as string))"
+
+
+def _case(column: str, values: dict, default: str = "") -> str:
+    branches = " ".join(f"when {key!r} then {value!r}" for key, value in values.items())
+    return f"case {column} {branches} {default} end"
+
+
+TRANSACTION_ID = (
+    "concat('TXN', lpad(cast(l_orderkey * 10 + l_linenumber as string), 10, '0'))"
+)
+FROM_LINEITEM = {
+    "transaction_id": TRANSACTION_ID,
+    "card_type": "l_linestatus",
+    "amount": cents("l_extendedprice"),
+    "installment_months": _case("l_linenumber", INSTALLMENT_BY_LINE, "else 0"),
+}
+FROM_ORDERS = {
+    "transaction_ts": "o_orderdate",
+    "card_no": mask_card("o_custkey"),
+    "approval_status": _case("o_orderstatus", STATUS_OF_CODE),
+    "region": "r_name",
+}
+FROM_PART = {"category": "p_type", "sub_category": "p_brand"}
+FROM_SUPPLIER = {"merchant": "s_name"}
+TXN_COLUMNS = (*FROM_LINEITEM, *FROM_ORDERS, *FROM_PART, *FROM_SUPPLIER)
+
+
+def _picked(source: dict[str, str], wanted: set[str]) -> list[str]:
+    return [f"{text} as {name}" for name, text in source.items() if name in wanted]
 
 
 def _enriched_orders(
@@ -60,76 +86,44 @@ def _enriched_orders(
     orders = table(spark, data_dir, "orders")
     if approved_only:
         # on the stored code, so that the Parquet reader can skip by it
-        orders = orders.filter(F.col("o_orderstatus") == STATUS_CODES[APPROVED])
-    status = F.lit(None).cast("string")
-    for name, code in STATUS_CODES.items():
-        status = F.when(F.col("o_orderstatus") == code, name).otherwise(status)
-    columns = {
-        "transaction_ts": F.col("o_orderdate"),
-        "card_no": mask_card("o_custkey"),
-        "approval_status": status,
-    }
-    kept = [expr.alias(name) for name, expr in columns.items() if name in wanted]
-    if "region" not in wanted:
-        return orders.select("o_orderkey", *kept)
-    home = (
-        table(spark, data_dir, "customer")
-        .join(
-            table(spark, data_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-        )
-        .join(
-            table(spark, data_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
+        orders = orders.filter(f"o_orderstatus = '{APPROVED_CODE}'")
+    if "region" in wanted:
+        home = (
+            table(spark, data_dir, "customer")
+            .join(table(spark, data_dir, "nation"), expr("c_nationkey = n_nationkey"), "left")
+            .join(table(spark, data_dir, "region"), expr("n_regionkey = r_regionkey"), "left")
+            .select("c_custkey", "r_name")
         )
-        .select("c_custkey", F.col("r_name").alias("region"))
-    )
-    return orders.select("o_orderkey", "o_custkey", *kept).join(
-        home, F.col("o_custkey") == F.col("c_custkey"), "left"
-    )
+        orders = orders.join(home, expr("o_custkey = c_custkey"), "left")
+    return orders.selectExpr("o_orderkey", *_picked(FROM_ORDERS, wanted))
 
 
 def _joined_lines(
     spark: SparkSession,
     data_dir: str,
-    line_columns: Iterable[Column | str],
+    line_columns: Iterable[str],
     wanted: set[str],
     approved_only: bool = False,
 ) -> DataFrame:
     """Lineitem with `line_columns` and the looked-up columns named in `wanted`."""
-    lines = table(spark, data_dir, "lineitem").select(
+    lines = table(spark, data_dir, "lineitem").selectExpr(
         "l_orderkey", "l_partkey", "l_suppkey", *line_columns
     )
-    if approved_only or wanted & FROM_ORDERS:
+    if approved_only or wanted & set(FROM_ORDERS):
         orders = _enriched_orders(spark, data_dir, wanted, approved_only)
-        lines = lines.join(
-            orders,
-            F.col("l_orderkey") == F.col("o_orderkey"),
-            "inner" if approved_only else "left",
-        )
-    if wanted & FROM_PART:
-        part = table(spark, data_dir, "part").select(
-            "p_partkey", F.col("p_type").alias("category"), F.col("p_brand").alias("sub_category")
+        how = "inner" if approved_only else "left"
+        lines = lines.join(orders, expr("l_orderkey = o_orderkey"), how)
+    if wanted & set(FROM_PART):
+        part = table(spark, data_dir, "part").selectExpr("p_partkey", *_picked(FROM_PART, wanted))
+        lines = lines.join(part, expr("l_partkey = p_partkey"), "left")
+    if wanted & set(FROM_SUPPLIER):
+        supplier = table(spark, data_dir, "supplier").selectExpr(
+            "s_suppkey", *_picked(FROM_SUPPLIER, wanted)
         )
-        lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    if wanted & FROM_SUPPLIER:
-        supplier = table(spark, data_dir, "supplier").select(
-            "s_suppkey", F.col("s_name").alias("merchant")
-        )
-        lines = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        lines = lines.join(supplier, expr("l_suppkey = s_suppkey"), "left")
     return lines
 
 
-def _transaction_id() -> Column:
-    number = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
-    return F.concat(F.lit("TXN"), F.lpad(number, 10, "0"))
-
-
-def _installment() -> Column:
-    months = F.lit(0)
-    for line, value in INSTALLMENT_BY_LINE.items():
-        months = F.when(F.col("l_linenumber") == line, value).otherwise(months)
-    return months
-
-
 def transactions(
     spark: SparkSession,
     data_dir: str,
@@ -138,96 +132,80 @@ def transactions(
 ) -> DataFrame:
     """Transactions with the given columns, joining only the tables these need."""
     columns = list(columns)
-    wanted = set(columns)
-    unknown = wanted - set(TXN_COLUMNS)
+    unknown = set(columns) - set(TXN_COLUMNS)
     if unknown:
         raise ValueError(f"unknown transaction columns: {sorted(unknown)}")
-    line_columns = {
-        "transaction_id": _transaction_id(),
-        "card_type": F.col("l_linestatus"),
-        "amount": cents("l_extendedprice"),
-        "installment_months": _installment(),
-    }
-    lines = _joined_lines(
-        spark,
-        data_dir,
-        [expr.alias(name) for name, expr in line_columns.items() if name in wanted],
-        wanted,
-        approved_only,
-    )
-    return lines.select(*columns)
+    wanted = set(columns)
+    line_columns = _picked(FROM_LINEITEM, wanted)
+    return _joined_lines(spark, data_dir, line_columns, wanted, approved_only).select(*columns)
 
 
 def events(spark: SparkSession, data_dir: str) -> DataFrame:
     """The event table as transactions with hour-level times; errors count as cancelled."""
-    return table(spark, data_dir, "events").select(
-        F.col("event_id").cast("string").alias("transaction_id"),
-        F.col("ts").alias("transaction_ts"),
-        F.col("user_id").cast("string").alias("card_no"),
-        F.when(F.col("user_id") % 2 == 0, CREDIT).otherwise(DEBIT).alias("card_type"),
-        F.col("event_type").alias("category"),
-        cents("value").alias("amount"),
-        F.when(F.col("event_type") == "error", CANCELLED)
-        .otherwise(APPROVED)
-        .alias("approval_status"),
+    return table(spark, data_dir, "events").selectExpr(
+        "cast(event_id as string) as transaction_id",
+        "ts as transaction_ts",
+        "cast(user_id as string) as card_no",
+        f"if(user_id % 2 = 0, '{CREDIT}', '{DEBIT}') as card_type",
+        "event_type as category",
+        f"{cents('value')} as amount",
+        f"if(event_type = 'error', '{CANCELLED}', '{APPROVED}') as approval_status",
     )
 
 
-def _every(step: int) -> Column:
-    return F.col("l_orderkey") % step == 0
-
-
-def _damaged(expr: Column, *damage: tuple[int, str | None]) -> Column:
-    """`expr`, replaced on the order keys divisible by a step; the first match wins."""
-    result = expr
-    for step, value in reversed(damage):
-        result = F.when(_every(step), F.lit(value).cast("string")).otherwise(result)
-    return result
+def _damaged(expression: str, *damage: tuple[int, str]) -> str:
+    """`expression`, replaced on the order keys divisible by a step; the first match wins."""
+    branches = " ".join(f"when l_orderkey % {step} = 0 then {value}" for step, value in damage)
+    return f"case {branches} else {expression} end"
+
+
+DIRTY = {
+    "transaction_id": _damaged(TRANSACTION_ID, (991, "null")),
+    "transaction_date": _damaged(
+        "cast(transaction_ts as string)",
+        (103, "'1998-13-45 00:00:00'"),
+        (113, "'2099-01-01 00:00:00'"),
+    ),
+    "card_no": _damaged(mask_card("l_suppkey"), (107, "'1234-5678-9012-3456'"), (109, "null")),
+    "card_type": _damaged("l_linestatus", (137, "'X'")),
+    "merchant": _damaged("merchant", (151, "null")),
+    "sub_category": _damaged("sub_category", (157, "''")),
+    "category": _damaged("category", (97, "null"), (89, "''"), (83, "'null'"), (79, "'UNKNOWN'")),
+    "amount_raw": _damaged(
+        f"cast({cents('l_extendedprice')} as string)",
+        (101, "'-500'"),
+        (127, "'0'"),
+        (131, "'abc'"),
+    ),
+    "installment_raw": _damaged(
+        f"cast({FROM_LINEITEM['installment_months']} as string)", (163, "'x'")
+    ),
+    "approval_status": _damaged("approval_status", (139, "'unknown'")),
+    "region": _damaged("region", (149, "'ATLANTIS'")),
+}
 
 
 def dirty_transactions(
-    spark: SparkSession, data_dir: str, columns: Iterable[str] | None = None
+    spark: SparkSession, data_dir: str, columns: Iterable[str] = tuple(DIRTY)
 ) -> DataFrame:
     """All transactions as raw text, with known damage spread over them by order key.
 
     Feeds the quality suite: no row is left out, some have broken values.
     `amount_raw` and `installment_raw` are text; see `cast_numbers`.
     """
-    rules = {
-        "transaction_id": lambda: _damaged(_transaction_id(), (991, None)),
-        "transaction_date": lambda: _damaged(
-            F.col("transaction_ts").cast("string"),
-            (103, "1998-13-45 00:00:00"),
-            (113, "2099-01-01 00:00:00"),
-        ),
-        "card_no": lambda: _damaged(
-            mask_card("l_suppkey"), (107, "1234-5678-9012-3456"), (109, None)
-        ),
-        "card_type": lambda: _damaged(F.col("l_linestatus"), (137, "X")),
-        "merchant": lambda: _damaged(F.col("merchant"), (151, None)),
-        "sub_category": lambda: _damaged(F.col("sub_category"), (157, "")),
-        "category": lambda: _damaged(
-            F.col("category"), (97, None), (89, ""), (83, "null"), (79, "UNKNOWN")
-        ),
-        "amount_raw": lambda: _damaged(
-            cents("l_extendedprice").cast("string"), (101, "-500"), (127, "0"), (131, "abc")
-        ),
-        "installment_raw": lambda: _damaged(_installment().cast("string"), (163, "x")),
-        "approval_status": lambda: _damaged(F.col("approval_status"), (139, "unknown")),
-        "region": lambda: _damaged(F.col("region"), (149, "ATLANTIS")),
-    }
-    columns = list(rules if columns is None else columns)
-    wanted = {"transaction_ts" if c == "transaction_date" else c for c in columns} - {"card_no"}
+    columns = list(columns)
+    looked_up = {"transaction_ts" if c == "transaction_date" else c for c in columns}
+    looked_up -= {"card_no"}  # of the supplier here, by a key lineitem has
     lines = _joined_lines(
-        spark, data_dir, ["l_linenumber", "l_linestatus", "l_extendedprice"], wanted
+        spark, data_dir, ["l_linenumber", "l_linestatus", "l_extendedprice"], looked_up
     )
-    return lines.select(*[rules[name]().alias(name) for name in columns])
+    return lines.selectExpr(*[f"{DIRTY[name]} as {name}" for name in columns])
 
 
 def merchant_master(spark: SparkSession, data_dir: str) -> DataFrame:
     """Merchants in good standing: suppliers whose balance is not negative."""
     return (
         table(spark, data_dir, "supplier")
-        .filter(F.col("s_acctbal") >= 0)
-        .select(F.col("s_name").alias("merchant"))
+        .filter("s_acctbal >= 0")
+        .selectExpr("s_name as merchant")
     )
