@@ -1,8 +1,8 @@
-"""Broadcast only what has been measured to be small."""
+"""Sizes of broadcasts and of fixed spreads."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 10_000
@@ -20,3 +20,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     a larger dimension becomes a sort-merge join whose hot keys AQE splits.
     """
     return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def spread(spark: SparkSession) -> int:
+    """Tasks for a shuffle that adaptive execution must not merge: all cores get work."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(partitions, spark.sparkContext.defaultParallelism)

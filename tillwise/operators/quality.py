@@ -39,10 +39,8 @@ class Check:
 
 def is_missing(column: str, kind: T.DataType) -> Column:
     """NULL; for text also empty or the word null."""
-    missing = F.col(column).isNull()
-    if isinstance(kind, T.StringType):
-        missing = missing | F.col(column).isin("", "null")
-    return missing
+    text = f" or `{column}` in ('', 'null')" if isinstance(kind, T.StringType) else ""
+    return F.expr(f"`{column}` is null{text}")
 
 
 def not_in(column: str, allowed: tuple) -> Column:

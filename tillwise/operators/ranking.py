@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwise.functions.sizing import spread
 from tillwise.sinks.scratch import materialize
 
 
@@ -19,13 +20,11 @@ def with_global_rank(df: DataFrame, by: str, name: str) -> DataFrame:
     slice numbers are written out before use: they must not change when a task
     is run again.
     """
-    spark = df.sparkSession
     df = materialize(df, "ranked-rows")
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     values = materialize(
         df.groupBy(by)
         .agg(F.count("*").alias("_rows"))
-        .repartitionByRange(slices, F.desc_nulls_last(by))
+        .repartitionByRange(spread(df.sparkSession), F.desc_nulls_last(by))
         .withColumn("_slice", F.spark_partition_id()),
         "rank-values",
     )

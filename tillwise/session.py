@@ -15,11 +15,19 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs one more exchange above the join
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # start wide, let adaptive execution merge what turns out small
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
 }
 
 
+def conf_for_cores(cores: int) -> dict[str, str]:
+    """Settings that follow the size of the cluster."""
+    return {
+        # start wide, let adaptive execution merge what turns out small
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(200, 8 * cores)),
+        # listing tasks for tables of many directories; the default starts one per directory
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * cores),
+    }
+
+
 def is_object_store(path: str) -> bool:
     return path.startswith(("s3://", "s3a://", "s3n://"))
 
@@ -57,10 +65,14 @@ def get_session(
     settings = dict(BASE_CONF)
     if is_object_store(path):
         settings.update(object_store_conf())
-    settings.update(conf or {})
+    chosen = conf or {}
+    settings.update(chosen)
     builder = SparkSession.builder.appName(app_name)
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    for key, value in conf_for_cores(spark.sparkContext.defaultParallelism).items():
+        if key not in chosen:
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("WARN")
     return spark

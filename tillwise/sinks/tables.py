@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwise.functions.sizing import spread
 from tillwise.schema import TABLES
 from tillwise.sources.literals import benchmark_rows
 
@@ -32,8 +33,7 @@ def write_parquet(
     """
     keys = [F.col(c) for c in partition_by]
     if keys and few_rows_per_partition:
-        writers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartition(writers, *keys)
+        df = df.repartition(spread(df.sparkSession), *keys)
     elif keys:
         df = df.hint("rebalance", *keys)
     writer = df.write.mode("overwrite").option("compression", "snappy")
