@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
+
+from pyspark.sql import functions as F
+
 from tillwise.functions.calendar_cols import with_calendar
 
 SCHEMA = (
@@ -26,8 +30,6 @@ DEFAULTS = {
 
 def transactions(spark, *changes: dict):
     """One transaction per dict, each the default one with these columns changed."""
-    import datetime
-
     def row(number, change):
         values = {**DEFAULTS, "transaction_id": f"TXN{number:010d}", **change}
         text = values["transaction_ts"]
@@ -43,9 +45,9 @@ def fact(spark, *changes: dict):
 
 def raw(spark, *changes: dict):
     """Transactions as the quality suite gets them: the time as text."""
-    from pyspark.sql import functions as F
-
-    text = {i: c.pop("transaction_date") for i, c in enumerate(changes, 1) if "transaction_date" in c}
+    text = {
+        i: c.pop("transaction_date") for i, c in enumerate(changes, 1) if "transaction_date" in c
+    }
     df = transactions(spark, *changes).withColumn(
         "transaction_date", F.col("transaction_ts").cast("string")
     )

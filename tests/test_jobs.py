@@ -88,6 +88,23 @@ def test_quality(spark, csv, tmp_path):
     assert json.loads(part.read_text())["total_records"] == 36
 
 
+def test_registered_tables_have_every_declared_column(spark, csv, tmp_path):
+    root = str(tmp_path)
+    jobs.run_etl(spark, csv, root, with_declared=True)
+    jobs.run_quarterly(spark, csv, f"{root}/quarterly", 2024)
+    jobs.run_quality(spark, csv, f"{root}/quality")
+    names = jobs.register_outputs(
+        spark, "jobs_test", root, True, f"{root}/quarterly", 2024, f"{root}/quality"
+    )
+    assert len(names) == len(TABLES)
+    for name in names:
+        table = spark.table(name)
+        assert table.count() > 0, name
+        stored = table.select([F.count(c).alias(c) for c in table.columns]).first().asDict()
+        # growth has no predecessor in a first period; every other column has values
+        assert all(n > 0 for c, n in stored.items()), (name, stored)
+
+
 def test_quality_of_unparseable_amount_is_a_verdict_not_an_error(spark, tmp_path):
     path = str(tmp_path / "bad.csv")
     bad = transactions(spark, *CHANGES).withColumn(

@@ -99,33 +99,27 @@ def test_manifest_counts_files_and_bytes(spark, tmp_path):
     ]
 
 
-def test_external_tables(spark, tmp_path):
+def test_external_table(spark, tmp_path):
     root = str(tmp_path / "warehouse")
     name = "partitioned_transactions"
     full = registry.full_fact(spark, SMALL)
-    write_output(full, root, name)
-    for other, build in (
-        ("daily_category_summary", summaries.daily_category_summary),
-        ("merchant_ranking", summaries.merchant_ranking),
-        ("hourly_pattern", summaries.hourly_pattern),
-        ("regional_analysis", summaries.regional_analysis),
-        ("monthly_trend", summaries.monthly_trend),
-    ):
-        write_output(build(full), root, other)
-    write_output(quarterly.quarterly_category_summary(full, 1998), root, "quarterly_category_summary", 1998)
-    names = catalog.register_all(spark, "card_test", root)
-    names.append(catalog.register_quarterly(spark, "card_test", root, 1998))
-    assert len(names) == 7
-    for table in names:
-        assert spark.table(table).count() > 0
-    assert spark.table(f"card_test.{name}").count() == full.count()
-    described = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE card_test.{name}").collect()}
+    catalog.create_database(spark, "card_test", root)
+    table = catalog.register_table(spark, "card_test", name, write_output(full, root, name))
+    assert spark.table(table).count() == full.count()
+    described = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE {table}").collect()}
     assert described["card_no"] == "Masked card number"
-    # a new file becomes visible after a refresh
-    before = spark.table("card_test.monthly_trend").count()
-    summaries.monthly_trend(full).write.mode("append").parquet(f"{root}/monthly_trend")
-    catalog.refresh(spark, "card_test.monthly_trend")
-    assert spark.table("card_test.monthly_trend").count() == 2 * before
+
+
+def test_refresh_finds_new_files(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    monthly = summaries.monthly_trend(registry.full_fact(spark, SMALL))
+    catalog.create_database(spark, "refresh_test", root)
+    path = write_output(monthly, root, "monthly_trend")
+    table = catalog.register_table(spark, "refresh_test", "monthly_trend", path)
+    before = spark.table(table).count()
+    monthly.write.mode("append").parquet(path)
+    catalog.refresh(spark, table)
+    assert spark.table(table).count() == 2 * before
 
 
 def test_statement_quotes_comments():

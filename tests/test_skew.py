@@ -9,14 +9,24 @@ from tillwise.plans import registry
 from tillwise.plans.oracles import oracle_sql
 
 SOURCE = f"{DATA}/sf0.001"
+
+
+def hot(test: str, key: str, column: str) -> str:
+    return f"CASE WHEN {test} % 3 = 0 THEN {key} ELSE {column} END AS {column}"
+
+
+LINE = "hash(l_orderkey, l_linenumber, {})"
 HOT = {
-    "lineitem": "* REPLACE (CASE WHEN hash(l_orderkey, l_linenumber, 1) % 3 = 0 THEN 7 "
-    "ELSE l_orderkey END AS l_orderkey, "
-    "CASE WHEN hash(l_orderkey, l_linenumber, 2) % 3 = 0 THEN 5 ELSE l_partkey END AS l_partkey, "
-    "CASE WHEN hash(l_orderkey, l_linenumber, 3) % 3 = 0 THEN 3 ELSE l_suppkey END AS l_suppkey)",
-    "orders": "* REPLACE (CASE WHEN hash(o_orderkey) % 3 = 0 THEN 11 ELSE o_custkey END AS o_custkey, "
-    "CASE WHEN o_orderkey = 7 THEN 'F' ELSE o_orderstatus END AS o_orderstatus)",
-    "events": "* REPLACE (CASE WHEN event_id % 3 = 0 THEN 'view' ELSE event_type END AS event_type)",
+    "lineitem": [
+        hot(LINE.format(1), "7", "l_orderkey"),
+        hot(LINE.format(2), "5", "l_partkey"),
+        hot(LINE.format(3), "3", "l_suppkey"),
+    ],
+    "orders": [
+        hot("hash(o_orderkey)", "11", "o_custkey"),
+        "CASE WHEN o_orderkey = 7 THEN 'F' ELSE o_orderstatus END AS o_orderstatus",
+    ],
+    "events": [hot("event_id", "'view'", "event_type")],
 }
 QUERIES = [
     "daily_category_summary",
@@ -55,7 +65,7 @@ def skewed(tmp_path_factory):
     folder = tmp_path_factory.mktemp("skewed")
     source = connect(SOURCE)
     for name in TABLES:
-        columns = HOT.get(name, "*")
+        columns = f"* REPLACE ({', '.join(HOT[name])})" if name in HOT else "*"
         source.execute(
             f"COPY (SELECT {columns} FROM {name}) TO '{folder}/{name}.parquet' "
             "(ROW_GROUP_SIZE 2048)"

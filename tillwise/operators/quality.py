@@ -270,7 +270,13 @@ def business_rule_checks(
     )
     day = F.to_date("transaction_ts")
     checks = [
-        Check("plan_not_entitled", "business", "installment_eligibility", "WARN", has_plan & ~entitled),
+        Check(
+            "plan_not_entitled",
+            "business",
+            "installment_eligibility",
+            "WARN",
+            has_plan & ~entitled,
+        ),
         Check(
             "plan_unknown",
             "business",
@@ -279,7 +285,11 @@ def business_rule_checks(
             not_in("installment_months", rules.installments),
         ),
         Check(
-            "amount_step", "business", "amount_step", "WARN", F.col("amount") % rules.amount_step != 0
+            "amount_step",
+            "business",
+            "amount_step",
+            "WARN",
+            F.col("amount") % rules.amount_step != 0,
         ),
         Check(
             "id_pattern",
@@ -326,12 +336,13 @@ def amount_stats(df: DataFrame) -> DataFrame:
 
 def declined_rate(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The declined count and share, only when the share is above the threshold."""
+    pct = F.col("issue_count") / F.nullif("_total", F.lit(0)) * 100
     return (
         df.agg(
             F.count_if(F.col("approval_status") == DECLINED).alias("issue_count"),
             F.count("*").alias("_total"),
         )
-        .filter(F.col("issue_count") / F.nullif("_total", F.lit(0)) * 100 > rules.declined_warn_share * 100)
+        .filter(pct > rules.declined_warn_share * 100)
         .select(
             F.lit(DECLINED).alias("approval_status"),
             "issue_count",

@@ -29,7 +29,9 @@ def quarterly_category_summary(df: DataFrame, year: int, exact: bool = True) ->
     )
 
 
-def quarterly_merchant_top(df: DataFrame, year: int, top: int = 10, exact: bool = True) -> DataFrame:
+def quarterly_merchant_top(
+    df: DataFrame, year: int, top: int = 10, exact: bool = True
+) -> DataFrame:
     """Merchants on the `top` highest revenue ranks of each quarter.
 
     Ranks are dense, so ties can give more than `top` merchants. The rank limit

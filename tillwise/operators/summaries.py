@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 
 from tillwise.domains import REST_SLOT, TIME_SLOTS
 from tillwise.functions.calendar_cols import day_text, time_slot
-from tillwise.functions.measures import average, standard, total, txn_count, unique, unique_with_null
+from tillwise.functions.measures import (
+    average,
+    standard,
+    total,
+    txn_count,
+    unique,
+    unique_with_null,
+)
 
 
 def daily_category_summary(df: DataFrame, exact: bool = True) -> DataFrame:

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from tillwise.domains import CATEGORY_MASTER, Rules
 from tillwise.functions.calendar_cols import in_year
-from tillwise.functions.measures import approved
 from tillwise.operators import declared, explore, joins, layout, quality, quarterly, summaries
 from tillwise.schema import BENCHMARK_REPORT
+from tillwise.sinks import catalog
 from tillwise.sinks.scratch import materialize
 from tillwise.sinks.tables import (
     read_output,
@@ -72,8 +72,10 @@ def run_etl(
     for name, summarize in tables.items():
         write_output(summarize(fact), output, name)
     if with_declared:
-        needed = ["transaction_id", "txn_date", "txn_hour", "category", "card_type", "approval_status"]
-        with layout.cached(everything.select(*needed)) as narrow:
+        narrow = everything.select(
+            "transaction_id", "txn_date", "txn_hour", "category", "card_type", "approval_status"
+        )
+        with layout.cached(narrow):
             for name, summarize in DECLARED_ALL_STATUSES.items():
                 write_output(summarize(narrow), output, name)
     return summaries.etl_report(fact)
@@ -115,6 +117,29 @@ def run_quality(
     return quality.quality_gate(checks)
 
 
+def register_outputs(
+    spark: SparkSession,
+    database: str,
+    etl: str,
+    with_declared: bool = False,
+    quarterly: str | None = None,
+    year: int | None = None,
+    quality: str | None = None,
+) -> list[str]:
+    """Create the database at the output folder of `run_etl` and an external table for
+    everything written there, and below the quarterly and quality folders if given."""
+    names = ["partitioned_transactions", *SUMMARIES]
+    if with_declared:
+        names += [*DECLARED, *DECLARED_ALL_STATUSES]
+    folders = {name: f"{etl}/{name}" for name in names}
+    if quarterly is not None:
+        folders.update({name: f"{quarterly}/{year}/{name}" for name in QUARTERLY})
+    if quality is not None:
+        folders["quality_report"] = f"{quality}/quality_report"
+    catalog.create_database(spark, database, etl)
+    return [catalog.register_table(spark, database, n, path) for n, path in folders.items()]
+
+
 class Stopwatch:
     """Collects (test name, seconds, detail) rows."""
 

@@ -184,7 +184,8 @@ def _check_list() -> list[tuple[str, str, str, str, str, bool]]:
          _count_if("parsed > TIMESTAMP '2026-01-01 00:00:00'"), "", False),
         ("domain", "카테고리 유효성 검사", "FAIL", _count_if(f"category NOT IN ({_CATEGORIES})"),
          f"유효 카테고리: [{quoted}]", False),
-        ("domain", "카드유형 유효성 검사", "FAIL", _count_if("card_type NOT IN ('O', 'F')"), "", False),
+        ("domain", "카드유형 유효성 검사", "FAIL", _count_if("card_type NOT IN ('O', 'F')"), "",
+         False),
         ("domain", "승인상태 유효성 검사", "FAIL",
          _count_if("approval_status NOT IN ('approved', 'declined', 'cancelled')"), "", False),
         ("domain", "지역 유효성 검사", "FAIL", _count_if(f"region NOT IN ({_REGIONS})"), "", False),
@@ -260,7 +261,8 @@ FROM found, size"""
 BODIES: dict[str, str] = {
     "daily_category_summary": DAILY,
     "merchant_ranking": RANKING,
-    "hourly_pattern": f"SELECT txn_hour, {STANDARD}, {SLOT} AS time_slot FROM evt_ok GROUP BY txn_hour",
+    "hourly_pattern": f"""SELECT txn_hour, {STANDARD}, {SLOT} AS time_slot FROM evt_ok
+        GROUP BY txn_hour""",
     "regional_analysis": REGIONAL,
     "monthly_trend": f"""SELECT txn_year, txn_month, {STANDARD}, {MERCHANTS} FROM ok
         GROUP BY txn_year, txn_month""",
@@ -339,11 +341,13 @@ BODIES: dict[str, str] = {
         CAST(sum(amount) // count(*) AS BIGINT) AS avg_amount FROM ok""",
     "amount_describe": """SELECT count(amount) AS "count",
         CAST(sum(amount) AS DOUBLE) / count(amount) AS mean,
-        round(stddev_samp(amount), 2) AS stddev, min(amount) AS "min", max(amount) AS "max" FROM ok""",
+        round(stddev_samp(amount), 2) AS stddev, min(amount) AS "min", max(amount) AS "max"
+        FROM ok""",
     "category_distribution": f"""SELECT category, {ROWS}, {SUM},
         {_pct('count(*)', 'sum(count(*)) OVER ()', 1)} AS share_pct FROM txn GROUP BY category""",
     "approval_distribution": f"""SELECT approval_status, {ROWS},
-        {_pct('count(*)', 'sum(count(*)) OVER ()')} AS share_pct FROM txn GROUP BY approval_status""",
+        {_pct('count(*)', 'sum(count(*)) OVER ()')} AS share_pct FROM txn
+        GROUP BY approval_status""",
     "preview_merchants": f"""{RANKING}
         ORDER BY total_revenue DESC, merchant, category, sub_category LIMIT 15""",
     "daily_approval_rate": f"""SELECT txn_date, category, {N},
@@ -391,8 +395,8 @@ BODIES: dict[str, str] = {
       SELECT * FROM placed WHERE rn <= 5""",
     "time_slot_share": f"""SELECT {SLOT} AS time_slot, count(*) AS total_txns,
         {_pct('count(*)', 'sum(count(*)) OVER ()')} AS pct FROM evt_ok GROUP BY 1""",
-    "regional_monthly_trend": f"""SELECT strftime(transaction_ts, '%Y-%m') AS txn_month, region, {N},
-        {SUM} FROM ok GROUP BY 1, region""",
+    "regional_monthly_trend": f"""SELECT strftime(transaction_ts, '%Y-%m') AS txn_month, region,
+        {N}, {SUM} FROM ok GROUP BY 1, region""",
     "join_category_left": f""", {MASTER}
         SELECT category, transaction_id, amount, category_group, priority
         FROM txn LEFT JOIN master USING (category)""",
@@ -450,7 +454,7 @@ BODIES: dict[str, str] = {
         txn_date, CAST(hour(transaction_ts) AS INTEGER) AS txn_hour,
         CAST(dayofweek(transaction_ts) + 1 AS INTEGER) AS txn_day_of_week, txn_quarter,
         quarter_label, txn_year, txn_month FROM ok""",
-    "output_manifest_by_table": """SELECT 'hourly_pattern' AS table_name, true AS has_files,
+    "output_manifest": """SELECT 'hourly_pattern' AS table_name, true AS has_files,
         true AS has_bytes, (SELECT count(DISTINCT txn_hour) FROM evt_ok) AS "rows"
       UNION ALL SELECT 'regional_analysis', true, true,
         (SELECT count(*) FROM (SELECT DISTINCT region, category FROM ok))

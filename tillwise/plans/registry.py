@@ -19,7 +19,7 @@ from tillwise.schema import FACT_COLUMNS
 from tillwise.sinks import catalog
 from tillwise.sinks.scratch import fresh_path, materialize
 from tillwise.sinks.tables import (
-    output_manifest,
+    output_manifest as manifest_of,
     preview,
     read_output,
     write_benchmark_report,
@@ -493,7 +493,7 @@ def partitioned_transactions(spark, d):
 
 
 @query
-def output_manifest_by_table(spark, d):
+def output_manifest(spark, d):
     """Files found and rows stored for each written table."""
     root = fresh_path(spark, "manifest")
     outputs = {
@@ -509,7 +509,7 @@ def output_manifest_by_table(spark, d):
         for name, path in paths.items()
     ]
     return (
-        output_manifest(spark, root)
+        manifest_of(spark, root)
         .join(reduce(DataFrame.unionByName, stored), "table_name")
         .select(
             "table_name",

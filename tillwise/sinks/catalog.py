@@ -53,27 +53,6 @@ def register_table(
     return full_name
 
 
-def register_all(spark: SparkSession, database: str, root: str) -> list[str]:
-    """Register the fact and the daily, merchant, hourly, regional and monthly tables."""
-    create_database(spark, database, root)
-    names = [
-        "partitioned_transactions",
-        "daily_category_summary",
-        "merchant_ranking",
-        "hourly_pattern",
-        "regional_analysis",
-        "monthly_trend",
-    ]
-    return [register_table(spark, database, n, f"{root}/{n}") for n in names]
-
-
-def register_quarterly(spark: SparkSession, database: str, root: str, year: int) -> str:
-    """Register one year's quarterly category table, {root}/{year}/quarterly_category_summary."""
-    name = "quarterly_category_summary"
-    create_database(spark, database, root)
-    return register_table(spark, database, name, f"{root}/{year}/{name}")
-
-
 def refresh(spark: SparkSession, full_name: str) -> None:
     """Drop cached file listings after the folder was rewritten by someone else."""
     spark.catalog.refreshTable(full_name)
