@@ -371,7 +371,9 @@ def dq_category_amount_range(spark, d):
 
 
 def _checks(spark, d):
-    return quality.quality_checks(dirty(spark, d), RULES, AS_OF)
+    # the checks read the fact three times: join it together once
+    fact = materialize(dirty(spark, d), "quality-input")
+    return quality.quality_checks(fact, RULES, AS_OF)
 
 
 @query

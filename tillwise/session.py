@@ -13,6 +13,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # columns are pruned, so a task reads a fraction of its split
+    "spark.sql.files.maxPartitionBytes": "256m",
     # split a hot join key even where that costs one more exchange above the join
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
