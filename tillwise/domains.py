@@ -54,6 +54,25 @@ AMOUNT_RANGES = (
     ("보험", 30000, 300000),
 )
 
+# --- Fixed values: check name and detail text of each quality check ----------
+MISSING_CHECK = ("Null 검사 [{column}]", "컬럼 '{column}'에 Null 값 발견")
+CHECK_TEXTS = {
+    "duplicate_id": ("거래ID 중복 검사", "transaction_id 중복 발견"),
+    "double_payment": ("이중결제 의심 검사", "동일 시각/카드/금액/가맹점 거래 발견"),
+    "amount_negative": ("음수 금액 검사", ""),
+    "amount_excessive": ("과도 금액 검사", "기준: {amount_max:,}원 초과"),
+    "amount_zero": ("0원 거래 검사", ""),
+    "date_format": ("날짜 형식 검사", "yyyy-MM-dd HH:mm:ss 형식 불일치"),
+    "date_future": ("미래 날짜 검사", ""),
+    "category_domain": ("카테고리 유효성 검사", "유효 카테고리: {categories}"),
+    "card_type_domain": ("카드유형 유효성 검사", ""),
+    "status_domain": ("승인상태 유효성 검사", ""),
+    "region_domain": ("지역 유효성 검사", ""),
+    "card_mask": ("카드번호 마스킹 검사", "****-****-****-NNNN 패턴 불일치"),
+    "declined_share": ("거절률 이상 탐지", ""),
+}
+DECLINED_DETAIL = "거절률 %.2f%% (기준: %.0f%% 이하)"
+
 
 @dataclass(frozen=True)
 class Rules:

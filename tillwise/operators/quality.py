@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.domains import DECLINED, Rules
+from tillwise.domains import CHECK_TEXTS, DECLINED, DECLINED_DETAIL, MISSING_CHECK, Rules
 from tillwise.functions.calendar_cols import parse_timestamp
 from tillwise.functions.measures import mean_amount, share
 from tillwise.schema import FACT_COLUMNS
@@ -53,109 +53,50 @@ def _now(as_of: str | None) -> Column:
 
 
 def standard_checks(df: DataFrame, rules: Rules, as_of: str | None = None) -> list[Check]:
-    """The 23 fixed checks, in report order, and the declined-share check.
-
-    Check names and detail texts are fixed values: reports are compared by them.
-    """
+    """The 23 fixed checks, in report order, and the declined-share check."""
     parsed = parse_timestamp("transaction_date", rules.timestamp_format)
-    checks = [
+    amount = F.col("amount")
+
+    def check(key: str, category: str, severity: str, found: Column | None, **more) -> Check:
+        name, detail = CHECK_TEXTS[key]
+        detail = detail.format(amount_max=rules.amount_max, categories=list(rules.categories))
+        return Check(key, category, name, severity, found, detail, **more)
+
+    missing = [
         Check(
-            f"missing_{c}",
+            f"missing_{column}",
             "missing",
-            f"Null 검사 [{c}]",
+            MISSING_CHECK[0].format(column=column),
             "WARN",
-            is_missing(c, df.schema[c].dataType),
-            f"컬럼 '{c}'에 Null 값 발견",
+            is_missing(column, df.schema[column].dataType),
+            MISSING_CHECK[1].format(column=column),
             detail_if_clean="",
             fail_share=rules.missing_fail_share,
         )
-        for c in FACT_COLUMNS
+        for column in FACT_COLUMNS
     ]
-    checks += [
-        Check(
-            "duplicate_id",
-            "duplicates",
-            "거래ID 중복 검사",
-            "FAIL",
-            detail="transaction_id 중복 발견",
-            detail_if_clean="",
-        ),
-        Check(
-            "double_payment",
-            "duplicates",
-            "이중결제 의심 검사",
-            "WARN",
-            detail="동일 시각/카드/금액/가맹점 거래 발견",
-            detail_if_clean="",
-        ),
-        Check(
-            "amount_negative",
-            "amount",
-            "음수 금액 검사",
-            "FAIL",
-            F.col("amount") < rules.amount_min,
-        ),
-        Check(
-            "amount_excessive",
-            "amount",
-            "과도 금액 검사",
-            "WARN",
-            F.col("amount") > rules.amount_max,
-            f"기준: {rules.amount_max:,}원 초과",
-        ),
-        Check("amount_zero", "amount", "0원 거래 검사", "WARN", F.col("amount") == 0),
-        Check(
-            "date_format",
-            "date",
-            "날짜 형식 검사",
-            "FAIL",
-            parsed.isNull(),
-            "yyyy-MM-dd HH:mm:ss 형식 불일치",
-        ),
-        Check("date_future", "date", "미래 날짜 검사", "WARN", parsed > _now(as_of)),
-        Check(
-            "category_domain",
-            "domain",
-            "카테고리 유효성 검사",
-            "FAIL",
-            not_in("category", rules.categories),
-            f"유효 카테고리: {list(rules.categories)}",
-        ),
-        Check(
-            "card_type_domain",
-            "domain",
-            "카드유형 유효성 검사",
-            "FAIL",
-            not_in("card_type", rules.card_types),
-        ),
-        Check(
-            "status_domain",
-            "domain",
-            "승인상태 유효성 검사",
-            "FAIL",
-            not_in("approval_status", rules.statuses),
-        ),
-        Check(
-            "region_domain", "domain", "지역 유효성 검사", "FAIL", not_in("region", rules.regions)
-        ),
-        Check(
-            "card_mask",
-            "card",
-            "카드번호 마스킹 검사",
-            "FAIL",
-            ~F.col("card_no").rlike(rules.card_pattern),
-            "****-****-****-NNNN 패턴 불일치",
-        ),
-        Check(
+    return [
+        *missing,
+        check("duplicate_id", "duplicates", "FAIL", None, detail_if_clean=""),
+        check("double_payment", "duplicates", "WARN", None, detail_if_clean=""),
+        check("amount_negative", "amount", "FAIL", amount < rules.amount_min),
+        check("amount_excessive", "amount", "WARN", amount > rules.amount_max),
+        check("amount_zero", "amount", "WARN", amount == 0),
+        check("date_format", "date", "FAIL", parsed.isNull()),
+        check("date_future", "date", "WARN", parsed > _now(as_of)),
+        check("category_domain", "domain", "FAIL", not_in("category", rules.categories)),
+        check("card_type_domain", "domain", "FAIL", not_in("card_type", rules.card_types)),
+        check("status_domain", "domain", "FAIL", not_in("approval_status", rules.statuses)),
+        check("region_domain", "domain", "FAIL", not_in("region", rules.regions)),
+        check("card_mask", "card", "FAIL", ~F.col("card_no").rlike(rules.card_pattern)),
+        check(
             "declined_share",
             "distribution",
-            "거절률 이상 탐지",
             "WARN",
             F.col("approval_status") == DECLINED,
             warn_share=rules.declined_warn_share,
         ),
     ]
-    return checks
 
 
 def duplicate_groups(df: DataFrame, keys: tuple[str, ...] = ("transaction_id",)) -> DataFrame:
@@ -231,7 +172,7 @@ def _check_rows(
             count.alias("issue_count"),
             pct.alias("issue_pct"),
             F.format_string("%.4f%%", pct).alias("issue_ratio"),
-            F.when(limit.isNotNull(), F.format_string("거절률 %.2f%% (기준: %.0f%% 이하)", pct, limit))
+            F.when(limit.isNotNull(), F.format_string(DECLINED_DETAIL, pct, limit))
             .when(count > 0, F.col("detail"))
             .otherwise(F.col("detail_if_clean"))
             .alias("detail"),
