@@ -3,7 +3,7 @@ from pathlib import Path
 
 import pytest
 
-from tests.rows import raw
+from tests.rows import fact, raw
 from tillwise.domains import AMOUNT_RANGES, Rules
 from tillwise.operators import joins, quality
 from tillwise.sinks.tables import write_json_report
@@ -138,3 +138,30 @@ def test_unparseable_numbers(spark):
     df = spark.createDataFrame([("1", "x"), ("abc", "2"), (None, "3")], "a string, i string")
     row = quality.unparseable_numbers(df, "a", "i").first()
     assert tuple(row) == (3, 1, 1, 2, 1, 1)
+
+
+def test_business_rules(spark):
+    rows = fact(
+        spark,
+        {"amount": 50_000, "installment_months": 3},  # as it should be
+        {"amount": 50_000, "installment_months": 3, "card_type": "체크"},
+        {"amount": 49_900, "installment_months": 3},
+        {"amount": 60_000, "installment_months": 4},
+        {"amount": 1_050},
+        {"amount": 1_000, "transaction_id": "TXN1"},
+        {"amount": 1_000, "transaction_ts": "2025-01-01 00:00:00"},
+        {"amount": None, "transaction_ts": None, "transaction_id": None},
+    )
+    found = quality.business_rule_checks(rows, as_of=AS_OF).collect()
+    assert [(r.check_name, r.issue_count, r.status) for r in found] == [
+        ("installment_eligibility", 2, "WARN"),
+        ("installment_plan", 1, "WARN"),
+        ("amount_step", 1, "WARN"),
+        ("transaction_id_format", 1, "WARN"),
+        ("date_in_batch", 1, "WARN"),
+    ]
+
+
+def test_checked_at_is_the_given_time(spark):
+    row = quality.quality_checks(raw(spark, {}), as_of=AS_OF).first()
+    assert str(row.checked_at) == AS_OF

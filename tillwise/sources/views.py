@@ -13,7 +13,6 @@ sort-merge by measured size and split hot keys.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -26,16 +25,16 @@ STATUS_OF_CODE = {APPROVED_CODE: APPROVED, "O": DECLINED, "P": CANCELLED}
 INSTALLMENT_BY_LINE = {5: 3, 6: 6, 7: 12}
 
 
-@lru_cache(maxsize=None)
-def _stored_schema(application: str, path: str) -> T.StructType:
-    return SparkSession.active().read.parquet(path).schema
+_schemas: dict[tuple[str, str], T.StructType] = {}
 
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """An input table; its footers are asked for the schema once per application."""
     path = f"{data_dir}/{name}.parquet"
-    schema = _stored_schema(spark.sparkContext.applicationId, path)
-    return spark.read.schema(schema).parquet(path)
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def cents(column: str) -> str:
