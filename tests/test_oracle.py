@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as entry_point
 from tests.compare import connect, duck_rows, spark_rows, type_differences
 from tests.conftest import DATA
+from tillwise.plans import oracles, registry
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = registry.QUERIES
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
@@ -32,5 +33,10 @@ def test_same_rows(spark, data, name):
     assert type_differences(found, connection, SQL[name]) == {}
 
 
+def test_entry_names_every_query():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql())
+
+
 def test_entry_runs(spark):
     assert entry_point.entry(spark).count() > 0
