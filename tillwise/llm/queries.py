@@ -5,22 +5,55 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillwise.llm import mixing
+from tillwise.llm import language_id, license_scan, line_quality, mixing, pii, secret_scan
+from tillwise.llm.shared import id_remainder
 
 
 def _table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, data_dir: str) -> DataFrame:
+    docs = _table(spark, data_dir, "documents")
+    held_out = id_remainder(F.col("doc_id"), 3) == 1
+    model = language_id.train(docs.where(~held_out))
+    predicted = language_id.predictor(docs, model)(F.col("text"))
+    return docs.select("doc_id", held_out.alias("held_out"), predicted.alias("p")).select("doc_id", "held_out", "p.*")
+
+
+def op3_line_quality(spark: SparkSession, data_dir: str) -> DataFrame:
+    return line_quality.check(_table(spark, data_dir, "documents"), _table(spark, data_dir, "labels"))
+
+
+def op4_pii(spark: SparkSession, data_dir: str) -> DataFrame:
+    return pii.scan(_table(spark, data_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, data_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, data_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, data_dir: str) -> DataFrame:
+    return secret_scan.scan(_table(spark, data_dir, "documents"))
+
+
+def op8_license_scan(spark: SparkSession, data_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, data_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op3_line_quality": op3_line_quality,
+    "op4_pii": op4_pii,
     "op6_mixing": op6_mixing,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_license_scan": op8_license_scan,
 }
 
 ORACLES: dict[str, str] = {
     "op6_mixing": mixing.ORACLE,
+    "op7_secret_scan": secret_scan.ORACLE,
+    "op8_license_scan": license_scan.ORACLE,
 }
