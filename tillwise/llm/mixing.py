@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillwise.llm.shared import checkpointed, id_text, with_hint, word_count
+from tillwise.llm.shared import checkpointed, free_name, id_text, with_hint, word_count
 
 SLICES = 4096
 
@@ -117,6 +117,46 @@ def _slice(rank_value: Column) -> Column:
     return F.floor(rank_value * SLICES)
 
 
+def _sized(docs: DataFrame, carried: list[Column], id_col: str, text_col: str, source_col: str, seed: str) -> DataFrame:
+    """The carried columns and source, size, u, weight."""
+    return docs.select(
+        *carried,
+        F.col(source_col).alias("source"),
+        word_count(F.col(text_col)).alias("size"),
+        uniform(F.col(id_col), seed).alias("u"),
+    ).withColumn("weight", F.length(F.bin("size")))
+
+
+def _ranked(sized: DataFrame, sources: DataFrame, max_copies: int) -> DataFrame:
+    return (
+        sized.join(sources, F.col("source").eqNullSafe(F.col("source_")), "left")
+        .drop("source_")
+        .withColumns(_expected(max_copies))
+        .withColumn("v", _rank_value())
+        .withColumn("slice", _slice(F.col("v")))
+    )
+
+
+def _taken(ranked: DataFrame, borders: DataFrame) -> DataFrame:
+    """`ranked` with copies and taken."""
+    extra = (F.col("slice") < F.col("border")) | ((F.col("slice") == F.col("border")) & (F.col("v") <= F.col("last")))
+    copies = F.col("whole") + F.when(F.col("v").isNotNull() & F.coalesce(extra, F.lit(False)), 1).otherwise(0)
+    return (
+        ranked.join(borders, F.col("source").eqNullSafe(F.col("source_b")), "left")
+        .withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0).cast("long"))
+        .withColumn("taken", F.col("copies") * F.col("size"))
+    )
+
+
+def _plan(sized: DataFrame, weights: Sequence[int], share: float, max_copies: int) -> tuple[DataFrame, DataFrame]:
+    """What decides about a document, both with one row per source: sources (target and
+    scale) and borders (where the sample ends)."""
+    targets = checkpointed(source_targets(sized, weights, share, max_copies))
+    sources = with_hint(checkpointed(_with_scale(sized, targets, max_copies)).withColumnRenamed("source", "source_"))
+    borders = with_hint(checkpointed(_borders(_ranked(sized, sources, max_copies))))
+    return sources, borders
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -132,42 +172,34 @@ def mix(
 
     taken is copies * size; see the module for the rules.
     """
-    size = word_count(F.col(text_col))
-    sized = checkpointed(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.col(source_col).alias("source"),
-            size.alias("size"),
-            uniform(F.col(id_col), seed).alias("u"),
-        )
-    ).withColumn("weight", F.length(F.bin("size")))
-    targets = checkpointed(source_targets(sized, weights, share, max_copies))
-    sources = with_hint(checkpointed(_with_scale(sized, targets, max_copies)).withColumnRenamed("source", "source_"))
-    ranked = (
-        sized.join(sources, F.col("source").eqNullSafe(F.col("source_")), "left")
-        .drop("source_")
-        .withColumns(_expected(max_copies))
-        .withColumn("v", _rank_value())
-        .withColumn("slice", _slice(F.col("v")))
-    )
-    borders = with_hint(checkpointed(_borders(ranked)))
-    extra = (F.col("slice") < F.col("border")) | ((F.col("slice") == F.col("border")) & (F.col("v") <= F.col("last")))
-    copies = F.col("whole") + F.when(F.col("v").isNotNull() & F.coalesce(extra, F.lit(False)), 1).otherwise(0)
-    return (
-        ranked.join(borders, F.col("source").eqNullSafe(F.col("source_b")), "left")
-        .withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0).cast("long"))
-        .select(
-            "doc_id",
-            "size",
-            "source_size",
-            "target",
-            (F.col("copies") * F.col("size")).alias("taken"),
-            "copies",
-            "source",
-        )
+    sized = checkpointed(_sized(docs, [F.col(id_col).alias("doc_id")], id_col, text_col, source_col, seed))
+    sources, borders = _plan(sized, weights, share, max_copies)
+    return _taken(_ranked(sized, sources, max_copies), borders).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies", "source"
     )
 
 
+def mixed_documents(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: Sequence[int] = (1, 2, 3),
+    share: float = 1.0,
+    max_copies: int = 3,
+    seed: str = "",
+) -> DataFrame:
+    """The documents of the mix: their columns, and copies (1 or more), size, taken,
+    source_size, target under names that are free. Texts are read again rather than shuffled.
+    """
+    sized = checkpointed(_sized(docs, [], id_col, text_col, source_col, seed))
+    sources, borders = _plan(sized, weights, share, max_copies)
+    rows = _sized(docs, [F.struct("*").alias("row")], id_col, text_col, source_col, seed)
+    added = [F.col(c).alias(free_name(docs, c)) for c in ("copies", "size", "taken", "source_size", "target")]
+    return _taken(_ranked(rows, sources, max_copies), borders).where(F.col("copies") > 0).select("row.*", *added)
+
+
 def _borders(ranked: DataFrame) -> DataFrame:
     """Per source the slice in which the sample ends and the last rank value taken there.
 
@@ -217,18 +249,6 @@ def _borders(ranked: DataFrame) -> DataFrame:
     return ended.unionAll(everything)
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix with their columns and a column of copies (1 or more).
-
-    Documents with equal ids share a fate, so the copies are joined by id.
-    """
-    id_col = options.get("id_col", "doc_id")
-    taken = mix(docs, **options).where(F.col("copies") > 0)
-    taken = taken.groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("copies").alias("copies"))
-    name = "copies" if "copies" not in docs.columns else "copies_"
-    return docs.join(taken.withColumnRenamed("copies", name), F.col(id_col).eqNullSafe(F.col("mixed_id"))).drop("mixed_id")
-
-
 #: The same in DuckDB SQL over `documents`, with the default parameters.
 ORACLE = f"""
 WITH sized AS (

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import language_id, license_scan, line_quality, mixing, pii, secret_scan
+import corpus_pipeline
+from tillwise.llm import (
+    decontaminate,
+    language_id,
+    license_scan,
+    line_quality,
+    mixing,
+    ngram_lm,
+    pii,
+    secret_scan,
+    simhash,
+    token_counts,
+)
 from tillwise.llm.shared import id_remainder
 
 
@@ -23,6 +35,10 @@ def op1_language_id(spark: SparkSession, data_dir: str) -> DataFrame:
     return docs.select("doc_id", held_out.alias("held_out"), predicted.alias("p")).select("doc_id", "held_out", "p.*")
 
 
+def op2_decontaminate(spark: SparkSession, data_dir: str) -> DataFrame:
+    return decontaminate.overlaps(_table(spark, data_dir, "documents"), _table(spark, data_dir, "benchmark"))
+
+
 def op3_line_quality(spark: SparkSession, data_dir: str) -> DataFrame:
     return line_quality.check(_table(spark, data_dir, "documents"), _table(spark, data_dir, "labels"))
 
@@ -31,6 +47,10 @@ def op4_pii(spark: SparkSession, data_dir: str) -> DataFrame:
     return pii.scan(_table(spark, data_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, data_dir: str) -> DataFrame:
+    return token_counts.attribute(_table(spark, data_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, data_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, data_dir, "documents"))
 
@@ -43,13 +63,31 @@ def op8_license_scan(spark: SparkSession, data_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, data_dir, "documents"))
 
 
+def op9_simhash(spark: SparkSession, data_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, data_dir, "documents"))
+
+
+def op10_ngram_lm(spark: SparkSession, data_dir: str) -> DataFrame:
+    docs = _table(spark, data_dir, "documents")
+    return ngram_lm.score(docs, id_remainder(F.col("doc_id"), 7) == 2)
+
+
+def pipeline(spark: SparkSession, data_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, data_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_decontaminate": op2_decontaminate,
     "op3_line_quality": op3_line_quality,
     "op4_pii": op4_pii,
+    "op5_token_counts": op5_token_counts,
     "op6_mixing": op6_mixing,
     "op7_secret_scan": op7_secret_scan,
     "op8_license_scan": op8_license_scan,
+    "op9_simhash": op9_simhash,
+    "op10_ngram_lm": op10_ngram_lm,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {

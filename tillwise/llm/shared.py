@@ -12,6 +12,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: A side of a join is broadcast only if it was counted and has no more rows than this.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 
 
 def word_count(text: Column) -> Column:
@@ -40,13 +41,16 @@ def use_shared_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
-def with_hint(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if it has at most `rows` rows, else as it is.
+def with_hint(df: DataFrame, rows: int = BROADCAST_ROWS, blob: str | None = None) -> DataFrame:
+    """`df` with a broadcast hint if it has at most `rows` rows and, in its column `blob`,
+    at most BROADCAST_BYTES; else as it is.
 
-    Counts `df`, so give it something checkpointed. Without the hint Spark
+    Reads `df`, so give it something checkpointed. Without the hint Spark
     shuffles both sides and splits hot keys.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    size = F.sum(F.length(blob)) if blob else F.lit(0)
+    found = df.agg(F.count(F.lit(1)).alias("rows"), size.alias("bytes")).head()
+    return F.broadcast(df) if found["rows"] <= rows and (found["bytes"] or 0) <= BROADCAST_BYTES else df
 
 
 def free_name(df: DataFrame, name: str) -> str:

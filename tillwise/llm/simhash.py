@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.llm.components import components
@@ -75,10 +75,15 @@ def fingerprint(text: str | None) -> int:
     return int(sum(1 << k for k in np.flatnonzero(2 * ones > n).tolist()))
 
 
-@F.pandas_udf("long")
-def fingerprint_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for texts in batches:
-        yield pd.Series(np.array([fingerprint(t) for t in texts], dtype=np.uint64).astype(np.int64))
+def fingerprint_of(text: Column) -> Column:
+    """The fingerprint as a long (the same 64 bits)."""
+
+    @F.pandas_udf("long")
+    def prints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(np.array([fingerprint(t) for t in texts], dtype=np.uint64).astype(np.int64))
+
+    return prints(text)
 
 
 def far(a: np.ndarray, b) -> np.ndarray:
