@@ -4,8 +4,10 @@ A seed is a fixed mask over a few neighbouring words: positions it leaves out do
 enter the hash, so a substituted word there does no harm. All masks are laid over
 every place of every benchmark item and every document, and equal hashes are
 candidates. Around a candidate the two texts are compared word by word along the
-diagonal, a substituted word costing as much as four equal ones are worth; the best
-stretch is an overlap if it has MIN_EQUAL equal words (or is a whole shorter item).
+diagonal, a substituted word costing as much as two equal ones are worth. The best
+stretch counts if four in five of its words are equal; if not, the best one at a cost of
+four, which always has that share. It is an overlap if it has MIN_EQUAL equal words (or is
+a whole shorter item).
 
 Documents send nothing but candidates: the hashes of the benchmark set the bits of a
 filter of bounded size (its false hits are harmless), and a document yields only the
@@ -41,8 +43,8 @@ SPAN = 9
 
 MIN_ITEM = 6
 MIN_EQUAL = 10
-#: What a substituted word costs, in equal words: stretches have more than 4 in 5 equal.
-COST = 4
+#: What a substituted word costs, in equal words; a stretch at the second cost has 4 in 5 equal words or more.
+COSTS = (2, 4)
 #: Words beyond the outermost hits that are compared too, and the widest gap between hits of a stretch.
 MARGIN = 16
 
@@ -127,15 +129,25 @@ def stretches(found: np.ndarray, bits: int, bitmap: np.ndarray) -> list[tuple[in
     return merged
 
 
-def best_stretch(equal: np.ndarray) -> tuple[int, int]:
-    """Start and end of the stretch with the greatest sum of 1 for equal and -COST for other words."""
-    sums = np.concatenate(([0], np.cumsum(np.where(equal, 1, -COST))))
+def best_stretch(equal: np.ndarray, cost: int) -> tuple[int, int]:
+    """Start and end of the stretch with the greatest sum of 1 for equal and -cost for other words."""
+    sums = np.concatenate(([0], np.cumsum(np.where(equal, 1, -cost))))
     lowest = np.minimum.accumulate(sums)
     end = int((sums - lowest).argmax())
     start = int(np.flatnonzero(sums[: end + 1] == lowest[end])[-1])
     return start, end
 
 
+def overlap(equal: np.ndarray) -> tuple[int, int, int]:
+    """Start, end and equal words of the stretch that counts."""
+    for cost in COSTS:
+        start, end = best_stretch(equal, cost)
+        same = int(equal[start:end].sum())
+        if 5 * same >= 4 * (end - start):
+            break
+    return start, end, same
+
+
 FOUND = "doc_word long, item_word long, n_words long, n_equal long, item_words long"
 
 
@@ -201,8 +213,7 @@ def overlaps(
             text, other = np.frombuffer(a + b + c, dtype=np.uint64), np.frombuffer(i, dtype=np.uint64)
             shift = int(d) + len(a) // 8  # place in text of the item's first word
             begin, end = max(0, shift), min(len(text), shift + len(other))
-            x, y = best_stretch(text[begin:end] == other[begin - shift : end - shift])
-            equal = int((text[begin + x : begin + y] == other[begin + x - shift : begin + y - shift]).sum())
+            x, y, equal = overlap(text[begin:end] == other[begin - shift : end - shift])
             rows.append((int(s) - len(a) // 8 + begin + x, begin + x - shift, y - x, equal, len(other)))
         return pd.DataFrame(rows, columns=[part.split()[0] for part in FOUND.split(", ")])
 

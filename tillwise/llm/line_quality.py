@@ -38,10 +38,10 @@ MAX_REPEATED_PERCENT = 20
 SYMBOLS = b"#*$%&|<>"
 
 #: Expected number of labelled documents in the training sample.
-MAX_DOCS = 3000
+MAX_DOCS = 2000
 #: Lines of a training sequence; longer documents are cut into several.
 SEQUENCE = 64
-EPOCHS = 120
+EPOCHS = 60
 LEARNING_RATE = 0.1
 #: Pull of the weights towards their prior, in examples.
 PRIOR_STRENGTH = 4.0
