@@ -74,6 +74,7 @@ _HIDDEN_MAIL = re.compile(
 _DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)++")
 _NUMBER = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
+_LOOSE_CARD = re.compile(r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL_PHONE = re.compile(r"(?<![0-9A-Za-z+])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z])")
 _ID = re.compile(r"(?<![0-9A-Za-z-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7})(?![0-9A-Za-z-])")
@@ -114,13 +115,14 @@ def _ips(text: str) -> Iterator[tuple[int, int, bool]]:
 def _cards(text: str) -> Iterator[tuple[int, int, bool]]:
     for found in _CARD.finditer(text):
         digits = re.sub(r"[\x20-]", "", found.group())
-        if 13 <= len(digits) <= 19:
-            yield found.start(), found.end(), len(digits) >= 16 and luhn(digits)
+        if 16 <= len(digits) <= 19 and luhn(digits):
+            yield found.start(), found.end(), True
 
 
 def _phones(text: str) -> Iterator[tuple[int, int, bool]]:
     for found in _PHONE.finditer(text):
-        yield found.start(), found.end(), 8 <= len(re.sub(r"[^0-9]", "", found.group())) <= 15
+        if 8 <= len(re.sub(r"[^0-9]", "", found.group())) <= 15:
+            yield found.start(), found.end(), True
 
 
 def wide_matches(text: str) -> list[tuple[int, int, int, bool]]:
@@ -133,6 +135,7 @@ def wide_matches(text: str) -> list[tuple[int, int, int, bool]]:
     if _NUMBER.search(text):
         found += [(1, *m) for m in _ips(text)]
         found += [(2, *m) for m in _cards(text)]
+        found += [(2, m.start(), m.end(), False) for m in _LOOSE_CARD.finditer(text)]
         if "+" in text:
             found += [(3, *m) for m in _phones(text)]
         found += [(3, m.start(), m.end(), False) for m in _LOCAL_PHONE.finditer(text)]
@@ -162,21 +165,20 @@ def describe(text: str, kind: int, start: int, end: int, base: bool) -> int:
         known = any(w.lower() in GIVEN_NAMES for w in _WORDS.findall(span)) or None
     elif name == "card":
         known = digits[:1] in ("2", "3", "4", "5", "6") or None
-    plain = bool(digits) and (len(set(digits)) < 3 or digits in "01234567890123456789")
-    shape = base if kind < 4 else None
-    if name == "email" and not base:
-        shape = None
-    if name == "phone" and not base and not span.startswith("+"):
-        shape = None
+    numeric = name not in ("email", "name")
+    plain = numeric and (len(set(digits)) < 3 or digits in "01234567890123456789")
+    shape = None  # the looser patterns of mail and phone say nothing about the shape
+    if base or name in ("ip", "card"):
+        shape = base or (name == "card" and luhn(digits))
     votes = (
         shape,
         known,
         True if speaks_for else None,
         False if any(w in WORDS_AGAINST for w in near) else None,
-        False if plain else (True if len(digits) > 6 else None),
+        False if plain else (True if numeric and len(digits) > 6 else None),
         False if glued else None,
     )
-    has = (base, any(c in span for c in " -()."), len(span) > 12, "@" in span or span[:1].isupper(), speaks_for, not glued)
+    has = (shape is True, any(c in span for c in " -()."), len(span) > 12, "@" in span or span[:1].isupper(), speaks_for, not glued)
     code = kind
     for vote in votes:
         code = 3 * code + (1 if vote is None else 2 * vote)
