@@ -153,8 +153,12 @@ class Trie:
             at += -(-array.nbytes // 8) * 8
 
     def lookup(self, contexts: np.ndarray, sizes: np.ndarray, successors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of contexts and of pairs, 0 for those not in the trie. Contexts ascend, pairs are grouped by them."""
-        known = self.contexts.search(contexts)
+        """Bytes of contexts and of pairs, 0 for those not in the trie; pairs are grouped by context.
+
+        The levels are decoded stretch by stretch, once for all that is asked.
+        """
+        distinct, back = np.unique(contexts, return_inverse=True)
+        known = self.contexts.search(distinct)[back]
         backs = np.zeros(len(contexts), dtype=np.uint8)
         backs[known >= 0] = self.backs[known[known >= 0]]
         ranges = self.pointers.values().astype(np.int64)
@@ -395,9 +399,16 @@ def _pair_answers(body: DataFrame, bits: int, hot: dict[int, int]) -> DataFrame:
         here = hot_words[place] == contexts
         types[place[here]] = sizes[here]
         shard = int(group["shard"].iat[0])
+        found = trie.lookup(*(np.concatenate(x) for x in zip(*asked)))
+        cuts = [np.cumsum([0, *map(len, x)]) for x in list(zip(*asked))[::2]]  # of contexts, of pairs
         rows = [
-            (block, shard, *(x.tobytes() for x in trie.lookup(*one)), [] if k else types.tolist())
-            for k, (block, one) in enumerate(zip(group["block"], asked))
+            (
+                block,
+                shard,
+                *(x[c[k] : c[k + 1]].tobytes() for x, c in zip(found, cuts)),
+                [] if k else types.tolist(),
+            )
+            for k, block in enumerate(group["block"])
         ]
         return pd.DataFrame(rows, columns=["block", "shard", "backs", "codes", "hot_types"])
 
