@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import DATA
-from tillwise.functions.sizing import broadcast_if_small
-from tillwise.operators import explore, joins, layout, quality
+from tillwise.functions.sizing import broadcast_if_small, estimated_bytes
+from tillwise.operators import explore, joins, layout, quality, quarterly
 from tillwise.plans import registry
 from tillwise.sinks.tables import write_parquet
 from tillwise.sources import views
@@ -73,6 +73,36 @@ def test_approved_and_year_reach_the_parquet_reader(spark, capsys):
     assert "struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string," in text
 
 
+@pytest.mark.parametrize("name", ["hourly_pattern", "notebook_hourly", "time_slot_share"])
+def test_event_approval_reaches_the_parquet_reader(spark, capsys, name):
+    text = formatted(registry.QUERIES[name](spark, SMALL), capsys)
+    pushed = [line for line in text.splitlines() if line.startswith("PushedFilters")]
+    assert pushed and all("Not(EqualTo(event_type,error))" in p for p in pushed)
+
+
+def test_calendar_growth_prunes_years(spark, tmp_path):
+    fact = registry.full_fact(spark, SMALL)
+    path = str(tmp_path / "fact")
+    write_parquet(fact, path, ("txn_year", "txn_month"))
+    stored = spark.read.schema(fact.schema).parquet(path)
+    text = plan(quarterly.qoq_growth(stored, 1998, calendar=True))
+    assert re.search(r"PartitionFilters: \[[^\]]*txn_year#\d+ IN \(1997,1998\)", text)
+
+
+def test_duplicate_checks_read_their_own_tables(spark):
+    assert scans(plan(registry.dirty(spark, SMALL, "transaction_id"))) == ["lineitem"]
+    payments = registry.dirty(spark, SMALL, *quality.DOUBLE_PAYMENT_KEYS)
+    assert sorted(scans(plan(payments))) == ["lineitem", "orders", "supplier"]
+    assert scans(query_plan(spark, "dq_checks")).count("lineitem") == 3
+
+
+def test_merge_join_spreads_a_hot_category(spark):
+    fact = spark.range(4000).select(F.lit("STANDARD").alias("category"), F.col("id").alias("amount"))
+    joined = joins.with_category_master(fact, registry._master(spark), "merge")
+    assert joined.count() == 4000 and joined.where("priority = 1").count() == 4000
+    assert "_salt" in plan(joined) and "_salt" not in joined.columns
+
+
 def test_only_needed_columns_are_read(spark, capsys):
     text = formatted(registry.QUERIES["notebook_category"](spark, SMALL), capsys)
     assert "struct<l_orderkey:bigint,l_partkey:bigint,l_extendedprice:double>" in text
@@ -134,8 +164,10 @@ def test_broadcast_hint_only_below_the_limit(spark):
         return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
 
     dimension = spark.range(20)
-    assert hinted(broadcast_if_small(dimension, 20))
-    assert not hinted(broadcast_if_small(dimension, 19))
+    size = estimated_bytes(dimension)
+    assert size >= 20 * 8
+    assert hinted(broadcast_if_small(dimension, size))
+    assert not hinted(broadcast_if_small(dimension, size - 1))
 
 
 def test_fact_joins_do_not_broadcast_beyond_the_threshold(spark):

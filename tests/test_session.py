@@ -1,6 +1,8 @@
 import pytest
 
-from tillwise.session import is_object_store, object_store_conf
+from pyspark import SparkConf
+
+from tillwise.session import BASE_CONF, conf_for_cores, get_session, is_object_store, most_cores, object_store_conf
 from tillwise.sinks import scratch
 
 
@@ -20,6 +22,37 @@ def test_keys_and_endpoint_only_when_given():
     assert full["spark.hadoop.fs.s3a.secret.key"] == "b"
 
 
+def test_partitions_follow_the_largest_cluster():
+    conf = SparkConf(loadDefaults=False)
+    assert most_cores(conf, 2) == 2
+    conf.set("spark.dynamicAllocation.enabled", "true")
+    conf.set("spark.dynamicAllocation.maxExecutors", "1000").set("spark.executor.cores", "4")
+    assert most_cores(conf, 2) == 4000
+    sizes = conf_for_cores(4000)
+    assert sizes["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "32000"
+
+
+def test_what_the_user_set_stays(spark):
+    changed = {
+        "spark.sql.files.maxPartitionBytes": "64m",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "5000",
+    }
+    before = dict(spark.conf.getAll)
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        session = get_session("again", conf={"spark.sql.adaptive.skewJoin.enabled": "false"})
+        assert {k: session.conf.get(k) for k in changed} == changed
+        assert session.conf.get("spark.sql.adaptive.skewJoin.enabled") == "false"
+        assert session.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+    finally:
+        for key in {*BASE_CONF, *conf_for_cores(1)}:
+            if key in before:
+                spark.conf.set(key, before[key])
+            else:
+                spark.conf.unset(key)
+
+
 def test_scratch_is_in_the_named_folder(spark):
     assert scratch.fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 

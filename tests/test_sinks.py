@@ -99,6 +99,16 @@ def test_manifest_counts_files_and_bytes(spark, tmp_path):
     ]
 
 
+def test_manifest_takes_the_root_literally(spark, tmp_path):
+    root = tmp_path / "a+b (1)"
+    rows = spark.range(3)
+    rows.write.parquet(str(root / "quarterly" / root.name / "x"))
+    rows.write.parquet(str(root / "2024" / "x"))
+    tables = lambda depth: [r.table_name for r in output_manifest(spark, str(root), depth).collect()]
+    assert tables(1) == ["2024", "quarterly"]
+    assert tables(2) == ["2024/x", f"quarterly/{root.name}"]
+
+
 def test_external_table(spark, tmp_path):
     root = str(tmp_path / "warehouse")
     name = "partitioned_transactions"

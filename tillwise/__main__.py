@@ -3,9 +3,11 @@
     python -m tillwise quality   --input data.csv --output out/quality
     python -m tillwise etl       --input data.csv --output out
     python -m tillwise quarterly --input data.csv --output out/quarterly --year 2024
+    python -m tillwise quarterly --input out/partitioned_transactions --input-format fact ...
     python -m tillwise benchmark --input data.csv --output out/benchmark
 
 `quality` exits with 1 when the verdict is FAIL, so that a scheduler stops there.
+`etl --only-touched-partitions` re-runs a day or a month and keeps the others.
 """
 
 from __future__ import annotations
@@ -23,19 +25,35 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--input", required=True)
     parser.add_argument("--output", default=None, help="required except for quality")
     parser.add_argument("--year", type=int, default=2024)
+    parser.add_argument("--input-format", choices=["csv", "fact"], default="csv", help="quarterly")
+    parser.add_argument("--calendar", action="store_true", help="quarterly: calendar predecessors")
+    parser.add_argument("--only-touched-partitions", action="store_true", help="etl")
+    parser.add_argument("--rules", default="standard", help=f"quality: of {', '.join(jobs.RULE_SETS)}")
+    parser.add_argument("--merchants", default=None, help="quality: Parquet merchant master")
     args = parser.parse_args(arguments)
     if args.output is None and args.job != "quality":
         parser.error("--output is required")
-    spark = get_session(f"tillwise-{args.job}", args.input)
+    spark = get_session(f"tillwise-{args.job}", [args.input, args.output or ""])
     try:
         if args.job == "quality":
-            verdict = jobs.run_quality(spark, args.input, args.output)
+            master = spark.read.parquet(args.merchants) if args.merchants else None
+            verdict = jobs.run_quality(
+                spark, args.input, args.output, rule_sets=args.rules.split(","), merchants=master
+            )
             print(verdict)
             return 1 if verdict == "FAIL" else 0
         if args.job == "etl":
-            result = jobs.run_etl(spark, args.input, args.output, with_declared=True)
+            result = jobs.run_etl(
+                spark,
+                args.input,
+                args.output,
+                with_declared=True,
+                only_touched_partitions=args.only_touched_partitions,
+            )
         elif args.job == "quarterly":
-            result = jobs.run_quarterly(spark, args.input, args.output, args.year)
+            result = jobs.run_quarterly(
+                spark, args.input, args.output, args.year, args.input_format, args.calendar
+            )
         else:
             result = jobs.run_benchmark(spark, args.input, args.output, year=args.year)
         result.show(50, truncate=False)

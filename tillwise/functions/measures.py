@@ -61,17 +61,18 @@ def growth(current: Column | str, previous: Column | str, digits: int = 2) -> Co
     """Change in percent; NULL without a previous value or when that value is 0."""
     current = F.col(current) if isinstance(current, str) else current
     previous = F.col(previous) if isinstance(previous, str) else previous
-    return F.when(
-        previous.isNotNull(),
-        F.round((current - previous) / F.nullif(previous, F.lit(0)) * 100, digits),
-    ).otherwise(F.lit(None).cast("double"))
+    return F.round((current - previous) / F.nullif(previous, F.lit(0)) * 100, digits)
 
 
-def with_share_of_total(df: DataFrame, column: str, name: str, digits: int = 2) -> DataFrame:
+def with_share_of_total(
+    df: DataFrame, column: str, name: str, digits: int = 2, closed: bool = True
+) -> DataFrame:
     """Add each row's share of the column total.
 
-    Only for aggregates over a closed domain (statuses, slots, categories): the
-    window without keys sees one row per domain value.
+    Over a closed domain (statuses, slots) a window without keys sees one row per value.
+    With `closed=False` the total is a subquery of one row, so that a domain with any
+    number of values is not brought together; it shares the shuffle of `df`.
     """
-    everything = Window.partitionBy()
-    return df.withColumn(name, share(F.col(column), F.sum(column).over(everything), digits))
+    everything = F.sum(column)
+    whole = everything.over(Window.partitionBy()) if closed else df.agg(everything).scalar()
+    return df.withColumn(name, share(F.col(column), whole, digits))

@@ -2,24 +2,42 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 10_000
+MAX_BROADCAST_BYTES = 16 << 20
+MAX_MEASURED_ROWS = 100_000
+UNKNOWN = 1 << 62
+
+log = logging.getLogger(__name__)
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when `df` has at most `max_rows` rows; never fetches more than one past it."""
-    return len(df.select(F.lit(1)).head(max_rows + 1)) <= max_rows
+def estimated_bytes(df: DataFrame) -> int:
+    """Size by the statistics of the optimized plan, without a job. Where there are none
+    (rows given from Python) the rows are measured, MAX_MEASURED_ROWS of them at most; one
+    row more counts as unknown, which is beyond any limit."""
+    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if known < UNKNOWN:
+        return known
+    text = F.length(F.to_json(F.struct("*")))
+    found = df.limit(MAX_MEASURED_ROWS + 1).agg(F.count("*").alias("rows"), F.sum(text).alias("bytes"))
+    row = found.first()
+    return (row["bytes"] or 0) if row["rows"] <= MAX_MEASURED_ROWS else UNKNOWN
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a narrow dimension that fits, `df` itself otherwise.
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint for a dimension of at most `max_bytes`, `df` itself otherwise.
 
     Without the hint Catalyst and AQE choose by estimated and measured size, so
     a larger dimension becomes a sort-merge join whose hot keys AQE splits.
     """
-    return F.broadcast(df) if is_small(df, max_rows) else df
+    size = estimated_bytes(df)
+    if size <= max_bytes:
+        return F.broadcast(df)
+    log.warning("no broadcast: %d bytes estimated, %d allowed", size, max_bytes)
+    return df
 
 
 def spread(spark: SparkSession) -> int:

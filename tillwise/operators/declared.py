@@ -24,19 +24,36 @@ def _has_status(status: str):
     return F.count_if(F.col("approval_status") == status)
 
 
-def _credit_share(credit_type: str):
-    return share(F.count_if(F.col("card_type") == credit_type), F.count("transaction_id"))
+COUNTS = ("txn_count", "approved_count", "cancelled_count", "credit_count")
+
+
+def status_counts(df: DataFrame, credit_type: str = CREDIT) -> DataFrame:
+    """By day, hour and category over ALL statuses: what the two tables below need, so that
+    one pass over the transactions is enough for both."""
+    return df.groupBy("txn_date", "txn_hour", "category").agg(
+        txn_count(),
+        _has_status(APPROVED).alias("approved_count"),
+        _has_status(CANCELLED).alias("cancelled_count"),
+        F.count_if(F.col("card_type") == credit_type).alias("credit_count"),
+    )
 
 
 def daily_approval_rate(df: DataFrame) -> DataFrame:
     """By day and category over ALL statuses."""
-    return (
-        df.groupBy("txn_date", "category")
-        .agg(
+    return daily_rate_of_counts(
+        df.groupBy("txn_date", "category").agg(
             txn_count(),
             _has_status(APPROVED).alias("approved_count"),
             _has_status(CANCELLED).alias("cancelled_count"),
         )
+    )
+
+
+def daily_rate_of_counts(counts: DataFrame) -> DataFrame:
+    """`daily_approval_rate` from counts at its grain or a finer one."""
+    return (
+        counts.groupBy("txn_date", "category")
+        .agg(*[F.sum(c).alias(c) for c in COUNTS[:3]])
         .withColumn("approval_rate", share(F.col("approved_count"), F.col("txn_count")))
         .orderBy("txn_date", "category")
     )
@@ -57,12 +74,27 @@ def hourly_ratios(
     rest: str = REST_SLOT,
 ) -> DataFrame:
     """Credit and cancellation shares by hour over ALL statuses."""
+    counts = df.groupBy("txn_hour").agg(
+        txn_count(),
+        _has_status(CANCELLED).alias("cancelled_count"),
+        F.count_if(F.col("card_type") == credit_type).alias("credit_count"),
+    )
+    return hourly_ratios_of_counts(counts, slots, rest)
+
+
+def hourly_ratios_of_counts(
+    counts: DataFrame,
+    slots: tuple[tuple[str, int, int], ...] = TIME_SLOTS,
+    rest: str = REST_SLOT,
+) -> DataFrame:
+    """`hourly_ratios` from counts at its grain or a finer one."""
+    whole = F.sum("txn_count")
     return (
-        df.groupBy("txn_hour")
+        counts.groupBy("txn_hour")
         .agg(
-            txn_count(),
-            _credit_share(credit_type).alias("credit_ratio"),
-            share(_has_status(CANCELLED), F.count("transaction_id")).alias("cancel_rate"),
+            whole.alias("txn_count"),
+            share(F.sum("credit_count"), whole).alias("credit_ratio"),
+            share(F.sum("cancelled_count"), whole).alias("cancel_rate"),
         )
         .withColumn("time_slot", time_slot("txn_hour", slots, rest))
         .orderBy("txn_hour")

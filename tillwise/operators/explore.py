@@ -65,13 +65,28 @@ def top_merchants(df: DataFrame, top: int = 15) -> DataFrame:
 
 
 def amount_describe(df: DataFrame) -> DataFrame:
-    """Count, mean, sample standard deviation, minimum and maximum, as numbers."""
-    return df.agg(
-        F.count("amount").alias("count"),
-        mean_amount(digits=None).alias("mean"),
-        F.stddev("amount").alias("stddev"),
-        F.min("amount").alias("min"),
-        F.max("amount").alias("max"),
+    """Count, mean, sample standard deviation, minimum and maximum, as numbers.
+
+    The deviation comes from exact sums of amounts and of their squares, so it does not
+    depend on the order in which rows are added.
+    """
+    amount, n = F.col("amount"), F.col("count")
+    squares = F.sum(amount.cast("decimal(18,0)") * amount.cast("decimal(18,0)")).cast("double")
+    plain = F.sum(amount.cast("decimal(20,0)")).cast("double")
+    return (
+        df.agg(
+            F.count("amount").alias("count"),
+            mean_amount(digits=None).alias("mean"),
+            plain.alias("_sum"),
+            squares.alias("_squares"),
+            F.min("amount").alias("min"),
+            F.max("amount").alias("max"),
+        )
+        .withColumn(
+            "stddev",
+            F.sqrt(F.try_divide(F.col("_squares") - F.try_divide(F.col("_sum") * F.col("_sum"), n), n - 1)),
+        )
+        .select("count", "mean", "stddev", "min", "max")
     )
 
 
@@ -96,7 +111,7 @@ def category_rollup(df: DataFrame) -> DataFrame:
 def category_distribution(df: DataFrame) -> DataFrame:
     """All statuses: rows, share of rows and amount by category."""
     counted = df.groupBy("category").agg(_rows(), total())
-    return with_share_of_total(counted, "txn_count", "share_pct", 1).orderBy(F.desc("txn_count"))
+    return with_share_of_total(counted, "txn_count", "share_pct", 1, closed=False).orderBy(F.desc("txn_count"))
 
 
 def approval_distribution(df: DataFrame) -> DataFrame:

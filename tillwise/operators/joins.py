@@ -7,18 +7,24 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.sizing import broadcast_if_small
 
+SALTS = 16
+
 
 def with_category_master(df: DataFrame, master: DataFrame, strategy: str = "auto") -> DataFrame:
     """Left join on `category`; a category the master lacks gets NULLs.
 
     strategy "auto" leaves the choice to Catalyst and AQE, "broadcast" hints it for
-    a master measured to be small, "merge" forces the sort-merge join (AQE splits
-    the partition of a hot category).
+    a master measured to be small, "merge" forces the sort-merge join. That one is
+    salted: every category of the master is repeated SALTS times and the fact's rows
+    take turns, so that a hot category is spread over SALTS tasks.
     """
     if strategy == "broadcast":
         master = broadcast_if_small(master)
     elif strategy == "merge":
-        master = master.hint("merge")
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        salted = master.withColumn("_salt", salts).hint("merge")
+        turn = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+        return df.withColumn("_salt", turn).join(salted, ["category", "_salt"], "left").drop("_salt")
     elif strategy != "auto":
         raise ValueError(f"unknown join strategy: {strategy}")
     return df.join(master, "category", "left")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.calendar_cols import between_times
 from tillwise.operators.explore import category_rollup
+from tillwise.sinks.scratch import materialize
 
 # Partition counts to compare, as set for a cluster of 8 cores
 REPARTITION_COUNTS = (1, 4, 8, 16, 50, 200)
@@ -51,8 +52,9 @@ def scaled_counts(spark: SparkSession, counts: Iterable[int] = REPARTITION_COUNT
 
 
 def repartition_rollups(df: DataFrame, counts: Iterable[int]) -> DataFrame:
-    """The category roll-up after a round-robin repartition to each count."""
-    narrow = df.select("category", "amount")
+    """The category roll-up after a round-robin repartition to each count. Its two columns
+    are written once, so what is above `df` is not repeated for every count."""
+    narrow = materialize(df.select("category", "amount"), "repartition-input")
     runs = [
         category_rollup(narrow.repartition(n)).withColumn("partitions", F.lit(n)) for n in counts
     ]

@@ -9,6 +9,7 @@ numbers, so nothing but counts ever leaves the tasks.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from pyspark.sql import types as T
 from tillwise.domains import CHECK_TEXTS, DECLINED, DECLINED_DETAIL, MISSING_CHECK, Rules
 from tillwise.functions.calendar_cols import parse_timestamp
 from tillwise.functions.measures import mean_amount, share
-from tillwise.schema import FACT_COLUMNS
+from tillwise.operators.joins import unknown_merchants
+from tillwise.schema import FACT_COLUMNS, NUMBER_TEXTS
 
 DOUBLE_PAYMENT_KEYS = ("transaction_date", "card_no", "amount", "merchant")
 
@@ -35,6 +37,7 @@ class Check:
     detail_if_clean: str | None = None  # None: same text either way
     fail_share: float | None = None  # FAIL above this share of rows, else `severity`
     warn_share: float | None = None  # listed only above this share of rows
+    share_detail: bool = False  # the detail states the share and its limit
 
 
 def is_missing(column: str, kind: T.DataType) -> Column:
@@ -53,7 +56,8 @@ def _now(as_of: str | None) -> Column:
 
 
 def standard_checks(df: DataFrame, rules: Rules, as_of: str | None = None) -> list[Check]:
-    """The 23 fixed checks, in report order, and the declined-share check."""
+    """The 23 fixed checks, in report order, and those listed only when they find something:
+    the declined share and, where the text of the numbers is there, text that is no number."""
     parsed = parse_timestamp("transaction_date", rules.timestamp_format)
     amount = F.col("amount")
 
@@ -75,6 +79,18 @@ def standard_checks(df: DataFrame, rules: Rules, as_of: str | None = None) -> li
         )
         for column in FACT_COLUMNS
     ]
+    unreadable = [
+        Check(
+            f"unreadable_{column}",
+            "format",
+            f"unreadable_{column}",
+            "FAIL",
+            ~is_missing(text, df.schema[text].dataType) & F.col(column).isNull(),
+            warn_share=0.0,
+        )
+        for column, text in NUMBER_TEXTS.items()
+        if text in df.columns
+    ]
     return [
         *missing,
         check("duplicate_id", "duplicates", "FAIL", None, detail_if_clean=""),
@@ -95,7 +111,9 @@ def standard_checks(df: DataFrame, rules: Rules, as_of: str | None = None) -> li
             "WARN",
             F.col("approval_status") == DECLINED,
             warn_share=rules.declined_warn_share,
+            share_detail=True,
         ),
+        *unreadable,
     ]
 
 
@@ -111,20 +129,19 @@ def duplicate_sample(df: DataFrame, top: int = 5) -> DataFrame:
 
 CHECK_LINES = (
     "check_no int, check_category string, check_name string, metric string, severity string, "
-    "fail_share double, warn_share double, detail string, detail_if_clean string"
+    "fail_share double, warn_share double, share_detail boolean, detail string, "
+    "detail_if_clean string"
 )
 
 
-def _counts(df: DataFrame, checks: list[Check], grouped: dict[str, DataFrame]) -> DataFrame:
+def _counts(df: DataFrame, checks: list[Check], values: dict[str, DataFrame]) -> DataFrame:
     """(metric, value) rows: one per check, and `total`."""
     by_row = [c for c in checks if c.found is not None]
     counted = df.agg(
         F.count("*").alias("total"), *[F.count_if(c.found).alias(c.key) for c in by_row]
     ).unpivot([], ["total", *[c.key for c in by_row]], "metric", "value")
-    for key, groups in grouped.items():
-        counted = counted.unionAll(
-            groups.agg(F.count("*").alias("value")).select(F.lit(key).alias("metric"), "value")
-        )
+    for key, value in values.items():
+        counted = counted.unionAll(value.select(F.lit(key).alias("metric"), "value"))
     return counted
 
 
@@ -133,8 +150,10 @@ def _check_rows(
     checks: list[Check],
     as_of: str | None,
     grouped: dict[str, DataFrame] | None = None,
+    counts: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """The check table: the counts looked up for each check's line."""
+    """The check table: the counts looked up for each check's line. `grouped` frames are
+    counted, `counts` frames hold a value."""
     lines = df.sparkSession.createDataFrame(
         [
             (
@@ -145,6 +164,7 @@ def _check_rows(
                 c.severity,
                 c.fail_share,
                 c.warn_share,
+                c.share_detail,
                 c.detail,
                 c.detail if c.detail_if_clean is None else c.detail_if_clean,
             )
@@ -154,7 +174,8 @@ def _check_rows(
     )
     # every frame from here on has one row per check
     total = F.max(F.when(F.col("metric") == "total", F.col("value"))).over(Window.partitionBy())
-    counts = _counts(df, checks, grouped or {}).withColumn("total_records", total)
+    values = {key: groups.agg(F.count("*").alias("value")) for key, groups in (grouped or {}).items()}
+    counts = _counts(df, checks, {**values, **(counts or {})}).withColumn("total_records", total)
     count, total = F.col("value"), F.col("total_records")
     pct = F.when(total > 0, count / total * 100).otherwise(F.lit(0.0))
     limit = F.col("warn_share") * 100
@@ -172,7 +193,7 @@ def _check_rows(
             count.alias("issue_count"),
             pct.alias("issue_pct"),
             F.format_string("%.4f%%", pct).alias("issue_ratio"),
-            F.when(limit.isNotNull(), F.format_string(DECLINED_DETAIL, pct, limit))
+            F.when(F.col("share_detail"), F.format_string(DECLINED_DETAIL, pct, limit))
             .when(count > 0, F.col("detail"))
             .otherwise(F.col("detail_if_clean"))
             .alias("detail"),
@@ -183,24 +204,31 @@ def _check_rows(
     )
 
 
-def quality_checks(df: DataFrame, rules: Rules = Rules(), as_of: str | None = None) -> DataFrame:
+def quality_checks(
+    df: DataFrame,
+    rules: Rules = Rules(),
+    as_of: str | None = None,
+    ids: DataFrame | None = None,
+    payments: DataFrame | None = None,
+    more: list[Check] | None = None,
+) -> DataFrame:
     """The check table over all rows of a fact whose numbers were cast already.
 
     `as_of` is the time later than which a transaction lies in the future; by
-    default now. Give one to make a run repeatable.
+    default now. Give one to make a run repeatable. `ids` and `payments` may be
+    narrower views of the same rows for the two duplicate checks, where the fact is
+    a join and those need fewer tables. `more` checks by row follow the standard ones.
     """
-    checks = standard_checks(df, rules, as_of)
+    checks = [*standard_checks(df, rules, as_of), *(more or [])]
     grouped = {
-        "duplicate_id": duplicate_groups(df),
-        "double_payment": duplicate_groups(df, DOUBLE_PAYMENT_KEYS),
+        "duplicate_id": duplicate_groups(df if ids is None else ids),
+        "double_payment": duplicate_groups(df if payments is None else payments, DOUBLE_PAYMENT_KEYS),
     }
     return _check_rows(df, checks, as_of, grouped)
 
 
-def business_rule_checks(
-    df: DataFrame, rules: Rules = Rules(), as_of: str | None = None
-) -> DataFrame:
-    """Warnings about rows that are well-formed but should not occur.
+def business_rules(rules: Rules = Rules()) -> list[Check]:
+    """Checks of rows that are well-formed but should not occur.
 
     Instalments need a credit card and a minimum amount and come in fixed plans;
     amounts are whole steps; ids follow a pattern; dates lie in the batch.
@@ -210,7 +238,7 @@ def business_rule_checks(
         F.col("amount") >= rules.installment_min_amount
     )
     day = F.to_date("transaction_ts")
-    checks = [
+    return [
         Check(
             "plan_not_entitled",
             "business",
@@ -247,7 +275,43 @@ def business_rule_checks(
             ~day.between(F.lit(rules.date_from).cast("date"), F.lit(rules.date_to).cast("date")),
         ),
     ]
-    return _check_rows(df, checks, as_of)
+
+
+def business_rule_checks(
+    df: DataFrame, rules: Rules = Rules(), as_of: str | None = None
+) -> DataFrame:
+    """The business rules as a check table of their own."""
+    return _check_rows(df, business_rules(rules), as_of)
+
+
+def range_check(ranges: list[tuple[str, int, int]], rules: Rules = Rules()) -> Check:
+    """Amounts outside the range of their category; categories without one are not judged."""
+    slack = rules.amount_range_tolerance
+    outside = F.lit(False)
+    for category, low, high in ranges:
+        amount = F.col("amount")
+        beyond = (amount < low - slack) | (amount > high + slack)
+        outside = outside | ((F.col("category") == category) & beyond)
+    return Check("category_amount_range", "business", "category_amount_range", "WARN", outside)
+
+
+def merchant_check(df: DataFrame, master: DataFrame, as_of: str | None = None) -> DataFrame:
+    """One check line: transactions whose merchant the master lacks."""
+    check = Check("merchant_master", "business", "merchant_master", "WARN")
+    unknown = unknown_merchants(df, master).agg(
+        F.coalesce(F.sum("txn_count"), F.lit(0)).alias("value")
+    )
+    return _check_rows(df, [check], as_of, counts={"merchant_master": unknown})
+
+
+def renumbered(tables: list[DataFrame]) -> DataFrame:
+    """Check tables one below the other, numbered through."""
+    stacked = reduce(
+        DataFrame.unionAll, (t.withColumn("_table", F.lit(n)) for n, t in enumerate(tables))
+    )
+    # one row per check
+    in_order = Window.partitionBy(F.lit(0)).orderBy("_table", "check_no")
+    return stacked.withColumn("check_no", F.row_number().over(in_order)).drop("_table").orderBy("check_no")
 
 
 def unparseable_numbers(
@@ -256,22 +320,22 @@ def unparseable_numbers(
     """How many raw texts are no numbers, next to how many are usable."""
 
     def broken(column: str) -> Column:
-        return F.col(column).isNotNull() & F.col(column).try_cast("int").isNull()
+        return F.col(column).isNotNull() & F.col(column).try_cast("bigint").isNull()
 
     return df.agg(
         F.count("*").alias("total_records"),
-        F.count(F.col(amount).try_cast("int")).alias("amount_ok"),
+        F.count(F.col(amount).try_cast("bigint")).alias("amount_ok"),
         F.count_if(broken(amount)).alias("amount_unparseable"),
-        F.count(F.col(installment).try_cast("int")).alias("installment_ok"),
+        F.count(F.col(installment).try_cast("bigint")).alias("installment_ok"),
         F.count_if(broken(installment)).alias("installment_unparseable"),
-        F.sum(F.col(amount).try_cast("int")).alias("amount_sum"),
+        F.sum(F.col(amount).try_cast("bigint")).alias("amount_sum"),
     )
 
 
 def amount_stats(df: DataFrame) -> DataFrame:
     return df.agg(
         mean_amount(None).alias("avg_amount"),
-        F.sum(F.when(F.col("amount") < 0, 1).otherwise(0)).alias("negative_count"),
+        F.count_if(F.col("amount") < 0).alias("negative_count"),
     )
 
 

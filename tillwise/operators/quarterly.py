@@ -71,6 +71,7 @@ def qoq_growth(df: DataFrame, year: int, calendar: bool = False, exact: bool = T
         )
         totals = (
             between_times(df, f"{year - 1}-10-01", f"{year + 1}-01-01")
+            .filter(F.col("txn_year").isin(year - 1, year))  # prunes a stored fact's folders
             .groupBy("txn_year", "txn_quarter")
             .agg(txn_count(), total(), unique("card_no", "unique_cards", exact))
         )

@@ -68,6 +68,7 @@ dirty AS (
          CASE WHEN k % 97 = 0 THEN NULL WHEN k % 89 = 0 THEN '' WHEN k % 83 = 0 THEN 'null'
               WHEN k % 79 = 0 THEN 'UNKNOWN' ELSE category END AS category,
          CASE WHEN k % 101 = 0 THEN '-500' WHEN k % 127 = 0 THEN '0' WHEN k % 131 = 0 THEN 'abc'
+              WHEN k % 167 = 0 THEN '3000000000'
               ELSE CAST(amount AS VARCHAR) END AS amount_raw,
          CASE WHEN k % 163 = 0 THEN 'x' ELSE CAST(installment_months AS VARCHAR) END
            AS installment_raw,
@@ -76,7 +77,7 @@ dirty AS (
   FROM txn0
 ),
 typed AS (
-  SELECT *, TRY_CAST(amount_raw AS INTEGER) AS amount,
+  SELECT *, TRY_CAST(amount_raw AS BIGINT) AS amount,
          TRY_CAST(installment_raw AS INTEGER) AS installment_months,
          try_strptime(transaction_date, '%Y-%m-%d %H:%M:%S') AS parsed
   FROM dirty
@@ -220,6 +221,14 @@ def _checks_sql() -> str:
         f"FROM (SELECT {declined} AS n, total FROM size) "
         "WHERE CAST(n AS DOUBLE) / total * 100 > 10"
     )
+    for number, name in ((25, "amount"), (26, "installment_months")):
+        text = {"amount": "amount_raw", "installment_months": "installment_raw"}[name]
+        found = _count_if(f"{text} IS NOT NULL AND {text} NOT IN ('', 'null') AND {name} IS NULL")
+        lines.append(
+            f"SELECT {number}, 'format', 'unreadable_{name}', 'FAIL', n, "
+            f"CAST(n AS DOUBLE) / total * 100, '', total FROM (SELECT {found} AS n, total FROM size) "
+            "WHERE n > 0"
+        )
     return (
         ", size AS (SELECT count(*) AS total FROM typed), checks AS ("
         + " UNION ALL ".join(lines)
@@ -341,7 +350,9 @@ BODIES: dict[str, str] = {
         CAST(sum(amount) // count(*) AS BIGINT) AS avg_amount FROM ok""",
     "amount_describe": """SELECT count(amount) AS "count",
         CAST(sum(amount) AS DOUBLE) / count(amount) AS mean,
-        round(stddev_samp(amount), 2) AS stddev, min(amount) AS "min", max(amount) AS "max"
+        sqrt((CAST(sum(CAST(amount AS HUGEINT) * amount) AS DOUBLE)
+              - CAST(sum(amount) AS DOUBLE) * CAST(sum(amount) AS DOUBLE) / count(amount))
+             / (count(amount) - 1)) AS stddev, min(amount) AS "min", max(amount) AS "max"
         FROM ok""",
     "category_distribution": f"""SELECT category, {ROWS}, {SUM},
         {_pct('count(*)', 'sum(count(*)) OVER ()', 1)} AS share_pct FROM txn GROUP BY category""",
@@ -437,13 +448,14 @@ BODIES: dict[str, str] = {
     "amount_stats": """SELECT CAST(sum(amount) AS DOUBLE) / count(amount) AS avg_amount,
         CAST(count(*) FILTER (amount < 0) AS BIGINT) AS negative_count FROM typed""",
     "csv_raw_try_cast": """SELECT count(*) AS total_records, count(amount) AS amount_ok,
-        count(*) FILTER (amount IS NULL) AS amount_unparseable,
+        count(*) FILTER (amount IS NULL AND amount_raw IS NOT NULL) AS amount_unparseable,
         count(installment_months) AS installment_ok,
-        count(*) FILTER (installment_months IS NULL) AS installment_unparseable,
+        count(*) FILTER (installment_months IS NULL AND installment_raw IS NOT NULL)
+          AS installment_unparseable,
         CAST(sum(amount) AS BIGINT) AS amount_sum FROM typed""",
     "csv_parquet_roundtrip": """SELECT transaction_id,
         strftime(transaction_ts, '%Y-%m-%d %H:%M:%S') AS transaction_date, card_no, card_type,
-        merchant, sub_category, category, CAST(amount AS INTEGER) AS amount, installment_months,
+        merchant, sub_category, category, amount, installment_months,
         approval_status, region, txn_date, txn_quarter FROM txn""",
     "sink_by_day": DAILY,
     "sink_by_region": REGIONAL,
@@ -454,12 +466,35 @@ BODIES: dict[str, str] = {
         txn_date, CAST(hour(transaction_ts) AS INTEGER) AS txn_hour,
         CAST(dayofweek(transaction_ts) + 1 AS INTEGER) AS txn_day_of_week, txn_quarter,
         quarter_label, txn_year, txn_month FROM ok""",
-    "output_manifest": """SELECT 'hourly_pattern' AS table_name, true AS has_files,
-        true AS has_bytes, (SELECT count(DISTINCT txn_hour) FROM evt_ok) AS "rows"
-      UNION ALL SELECT 'regional_analysis', true, true,
-        (SELECT count(*) FROM (SELECT DISTINCT region, category FROM ok))
-      UNION ALL SELECT 'monthly_trend', true, true,
-        (SELECT count(*) FROM (SELECT DISTINCT txn_year, txn_month FROM ok))""",
+    "output_manifest": """, regions AS (
+        SELECT CAST(count(DISTINCT coalesce(region, '?')) AS HUGEINT) AS files,
+               CAST(count(*) AS HUGEINT) AS "rows" FROM (SELECT DISTINCT region, category FROM ok)),
+      quarters AS (
+        SELECT count(DISTINCT txn_quarter) AS files, count(*) AS "rows"
+        FROM (SELECT DISTINCT txn_quarter, category FROM ok WHERE txn_year = 1998))
+      SELECT table_name, CAST(files AS BIGINT) AS files, true AS bytes_match,
+             CAST("rows" AS BIGINT) AS "rows"
+      FROM (SELECT 'regional_analysis' AS table_name, * FROM regions
+            UNION ALL SELECT 'a+b/regional_analysis', * FROM regions
+            UNION ALL SELECT '1998/quarterly_category_summary', * FROM quarters)""",
+    "catalog_tables": """, sizes AS (
+        SELECT 'hourly_pattern' AS table_name, count(DISTINCT txn_hour) AS "rows",
+               count(transaction_id) AS txn_count FROM evt_ok
+        UNION ALL SELECT 'monthly_trend', count(DISTINCT (txn_year, txn_month)),
+               count(transaction_id) FROM ok
+        UNION ALL SELECT 'qoq_growth', count(DISTINCT txn_quarter), count(transaction_id)
+               FROM ok WHERE txn_year = 1998
+        UNION ALL SELECT 'quarterly_region', count(DISTINCT (txn_quarter, region)),
+               count(transaction_id) FROM ok WHERE txn_year = 2001)
+      SELECT * FROM sizes""",
+    "catalog_comments": """, groups AS (SELECT DISTINCT region, category FROM ok)
+      SELECT column_name, comment, is_partition, (SELECT count(*) FROM groups) AS filled
+      FROM (VALUES ('region', 'Region', true), ('category', 'Merchant category', false),
+                   ('txn_count', 'Number of transactions', false),
+                   ('total_amount', 'Sum of amounts', false),
+                   ('avg_amount', 'Rounded mean amount', false),
+                   ('unique_cards', 'Distinct masked card numbers', false))
+        AS columns_(column_name, comment, is_partition)""",
     "catalog_external_table": f"""SELECT txn_year, txn_month, category, {N}, {SUM} FROM ok
         GROUP BY txn_year, txn_month, category""",
     "lookup_day_plain": """SELECT transaction_id, card_no, category, amount, txn_date FROM evt

@@ -15,7 +15,7 @@ FACT = T.StructType(
         T.StructField("merchant", T.StringType()),
         T.StructField("sub_category", T.StringType()),
         T.StructField("category", T.StringType()),
-        T.StructField("amount", T.IntegerType()),
+        T.StructField("amount", T.LongType()),
         T.StructField("installment_months", T.IntegerType()),
         T.StructField("approval_status", T.StringType()),
         T.StructField("region", T.StringType()),
@@ -26,6 +26,9 @@ FACT_COLUMNS = tuple(FACT.names)
 # Same columns, nothing cast: for input that has to be checked before it is trusted.
 FACT_RAW = T.StructType([T.StructField(name, T.StringType()) for name in FACT_COLUMNS])
 
+# Where the text of a number is kept once the number has been cast.
+NUMBER_TEXTS = {"amount": "amount_text", "installment_months": "installment_text"}
+
 BENCHMARK_REPORT = T.StructType(
     [
         T.StructField("test_name", T.StringType()),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 BASE_CONF = {
@@ -30,6 +32,15 @@ def conf_for_cores(cores: int) -> dict[str, str]:
     }
 
 
+def most_cores(conf: SparkConf, now: int) -> int:
+    """Cores the application may come to have: with dynamic allocation those of all
+    executors it may ask for, not of those it has when it starts."""
+    if conf.get("spark.dynamicAllocation.enabled", "false") != "true":
+        return now
+    executors = int(conf.get("spark.dynamicAllocation.maxExecutors", "0"))
+    return max(now, executors * int(conf.get("spark.executor.cores", "1")))
+
+
 def is_object_store(path: str) -> bool:
     return path.startswith(("s3://", "s3a://", "s3n://"))
 
@@ -57,24 +68,32 @@ def object_store_conf(env: dict[str, str] | None = None) -> dict[str, str]:
 
 def get_session(
     app_name: str = "tillwise",
-    path: str = "",
+    path: str | Iterable[str] = "",
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A session tuned for these jobs; S3A is configured when `path` needs it.
+    """A session tuned for these jobs; S3A is configured when one of the paths, or the
+    folder in `spark.checkpoint.dir`, needs it.
 
-    Master and resources come from spark-submit; pass `conf` to override.
+    Master and resources come from spark-submit. `conf` overrides the settings here, and
+    so does whatever was set at submit or in the session already.
     """
-    settings = dict(BASE_CONF)
-    if is_object_store(path):
-        settings.update(object_store_conf())
-    chosen = conf or {}
-    settings.update(chosen)
+    submitted, chosen = SparkConf(), conf or {}
+    settings = dict(chosen)
+    shared = chosen.get("spark.checkpoint.dir") or submitted.get("spark.checkpoint.dir", "")
+    paths = [path] if isinstance(path, str) else list(path)
+    if any(is_object_store(p) for p in [*paths, shared] if p):
+        for key, value in object_store_conf().items():
+            if not submitted.contains(key):
+                settings.setdefault(key, value)
     builder = SparkSession.builder.appName(app_name)
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    for key, value in conf_for_cores(spark.sparkContext.defaultParallelism).items():
-        if key not in chosen:
+    context = spark.sparkContext
+    set_already = {**dict(context.getConf().getAll()), **spark.conf.getAll, **chosen}
+    cores = most_cores(context.getConf(), context.defaultParallelism)
+    for key, value in {**BASE_CONF, **conf_for_cores(cores)}.items():
+        if key not in set_already:
             spark.conf.set(key, value)
-    spark.sparkContext.setLogLevel("WARN")
+    context.setLogLevel("WARN")
     return spark

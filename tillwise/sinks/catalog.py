@@ -20,6 +20,11 @@ def create_database(
     )
 
 
+def drop_database(spark: SparkSession, database: str) -> None:
+    """Drop a database and its tables; the files of external tables stay."""
+    spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+
+
 def create_table_statement(database: str, name: str, spec: TableSpec, location: str) -> str:
     columns = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}"

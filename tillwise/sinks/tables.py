@@ -92,10 +92,11 @@ def preview(df: DataFrame, rows: int = 10) -> DataFrame:
     return df.limit(rows)
 
 
-def output_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Data files and bytes of every table below `root` (one level of folders).
+def output_manifest(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
+    """Data files and bytes of every table below `root`.
 
-    Lists file metadata only: the content column is never read.
+    A table is the first `depth` folders below the root: 1 for {root}/{table}, 2 for
+    {root}/{year}/{table}. Lists file metadata only: the content column is never read.
     """
     files = (
         spark.read.format("binaryFile")
@@ -104,9 +105,13 @@ def output_manifest(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path", "length")
     )
-    below = F.element_at(F.split(F.col("path"), F.lit(f"/{root.rstrip('/').split('/')[-1]}/")), -1)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # as the reader lists it: with scheme, unescaped
+    prefix = system.makeQualified(folder).toString()
+    below = F.substring(F.col("path"), len(prefix) + 2, 1 << 30)
     return (
-        files.withColumn("table_name", F.element_at(F.split(below, "/"), 1))
+        files.withColumn("table_name", F.substring_index(below, "/", depth))
         .groupBy("table_name")
         .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
         .orderBy("table_name")

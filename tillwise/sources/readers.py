@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tillwise.functions.calendar_cols import parse_timestamp, with_calendar
 from tillwise.functions.measures import approved
-from tillwise.schema import FACT, FACT_RAW
+from tillwise.schema import FACT, FACT_RAW, NUMBER_TEXTS
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = FACT) -> DataFrame:
@@ -25,11 +25,15 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
 def cast_numbers(
     df: DataFrame, amount: str = "amount", installment: str = "installment_months"
 ) -> DataFrame:
-    """Text to int for the two numeric columns; text that is no number becomes NULL."""
+    """Text to whole numbers for the two numeric columns; text that is no number becomes
+    NULL. The text is kept beside them (`NUMBER_TEXTS`), so that it can be told from
+    a missing value."""
+    texts = {"amount": F.col(amount), "installment_months": F.col(installment)}
     return df.withColumns(
         {
-            "amount": F.col(amount).try_cast("int"),
-            "installment_months": F.col(installment).try_cast("int"),
+            **{NUMBER_TEXTS[name]: text for name, text in texts.items()},
+            "amount": texts["amount"].try_cast("bigint"),
+            "installment_months": texts["installment_months"].try_cast("int"),
         }
     )
 
