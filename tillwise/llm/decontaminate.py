@@ -48,8 +48,9 @@ COSTS = (2, 4)
 #: Words beyond the outermost hits that are compared too, and the widest gap between hits of a stretch.
 MARGIN = 16
 
-#: The filter has 2^MAX_BITS bits at most, whatever the benchmark.
+#: The filter has 2^MAX_BITS bits at most, whatever the benchmark; a hash sets PROBES of them.
 MIN_BITS, MAX_BITS = 16, 27
+PROBES = 4
 
 _KEEP = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -69,11 +70,13 @@ def _seed_rows(key: str, blob: str):
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, raw in zip(batch[key], batch[blob]):
-                each = seeds(np.frombuffer(raw, dtype=np.uint64))
+            for at in range(0, len(batch), 64):  # some at a time: they may be long
+                some = batch.iloc[at : at + 64]
+                each = [e for raw in some[blob] for e in seeds(np.frombuffer(raw, dtype=np.uint64))]
+                sizes = [sum(map(len, each[i : i + len(SEEDS)])) for i in range(0, len(each), len(SEEDS))]
                 yield pd.DataFrame(
                     {
-                        key: name,
+                        key: some[key].repeat(sizes).to_numpy(),
                         "hash": np.concatenate(each).astype(np.int64),
                         "place": np.concatenate([np.arange(len(e)) for e in each]),
                     }
@@ -98,14 +101,16 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _filter(hashes: DataFrame) -> tuple[int, np.ndarray]:
-    """A bitmap over the low bits of the benchmark's hashes. 2^(MAX_BITS - 6) rows pass the driver at most."""
+    """Its number of bits as a power of two, and a Bloom filter of the benchmark's hashes.
+    2^(MAX_BITS - 6) rows pass the driver at most."""
     n = hashes.count()
     bits = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(max(1, n) * 64))))
-    slot = F.col("hash").bitwiseAND((1 << bits) - 1)
+    low, high = F.col("hash").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("hash", 32).bitwiseOR(1)
+    slots = F.array(*[(low + high * k).bitwiseAND((1 << bits) - 1) for k in range(PROBES)])
     table = (
-        hashes.select(F.shiftright(slot, 6).alias("at"), F.expr("shiftleft(1L, int(hash & 63))").alias("bit"))
-        .groupBy("at")
-        .agg(F.bit_or("bit").alias("mask"))
+        hashes.select(F.explode(slots).alias("slot"))
+        .groupBy(F.shiftright("slot", 6).alias("at"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, int(slot & 63))")).alias("mask"))
         .toPandas()
     )
     bitmap = np.zeros(1 << (bits - 6), dtype=np.uint64)
@@ -113,13 +118,22 @@ def _filter(hashes: DataFrame) -> tuple[int, np.ndarray]:
     return bits, bitmap
 
 
+def in_filter(hashes: np.ndarray, bits: int, bitmap: np.ndarray) -> np.ndarray:
+    """Places of the hashes that the filter has; each probe looks at what the one before left."""
+    places = np.arange(len(hashes))
+    low, high = hashes & np.uint64(0xFFFFFFFF), (hashes >> np.uint64(32)) | np.uint64(1)
+    for k in range(PROBES):
+        slot = (low[places] + np.uint64(k) * high[places]) & np.uint64((1 << bits) - 1)
+        hit = (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
+        places = places[hit.astype(bool)]
+    return places
+
+
 def stretches(found: np.ndarray, bits: int, bitmap: np.ndarray) -> list[tuple[int, int]]:
     """Word ranges of a text from the first to the last hit of each cluster of hits."""
     ranges = []
     for mask, hashes in zip(SEEDS, seeds(found)):
-        slot = hashes & np.uint64((1 << bits) - 1)
-        hit = np.flatnonzero((bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1))
-        ranges += [(at, at + mask[-1] + 1) for at in hit.tolist()]
+        ranges += [(at, at + mask[-1] + 1) for at in in_filter(hashes, bits, bitmap).tolist()]
     merged: list[tuple[int, int]] = []
     for start, end in sorted(ranges):
         if merged and start <= merged[-1][1] + MARGIN:
