@@ -375,6 +375,14 @@ BODIES: dict[str, str] = {
         {_pct("count(*) FILTER (approval_status = 'cancelled')", 'count(transaction_id)')}
           AS cancel_rate
         FROM evt GROUP BY txn_hour""",
+    "hourly_ratios_by_commute": f"""SELECT txn_hour,
+        CASE WHEN txn_hour BETWEEN 7 AND 9 THEN 'way there'
+             WHEN txn_hour BETWEEN 16 AND 18 THEN 'way back'
+             WHEN txn_hour IS NOT NULL THEN 'rest of the day' END AS time_slot, {N},
+        {_pct("count(*) FILTER (card_type = '신용')", 'count(transaction_id)')} AS credit_ratio,
+        {_pct("count(*) FILTER (approval_status = 'cancelled')", 'count(transaction_id)')}
+          AS cancel_rate
+        FROM evt GROUP BY txn_hour""",
     "regional_profile": f""", tops AS (
         SELECT region, category, row_number() OVER (
                  PARTITION BY region ORDER BY count(*) DESC, category DESC) AS place
@@ -472,7 +480,7 @@ BODIES: dict[str, str] = {
       quarters AS (
         SELECT count(DISTINCT txn_quarter) AS files, count(*) AS "rows"
         FROM (SELECT DISTINCT txn_quarter, category FROM ok WHERE txn_year = 1998))
-      SELECT table_name, CAST(files AS BIGINT) AS files, true AS bytes_match,
+      SELECT table_name, CAST(files AS BIGINT) AS files, true AS bytes_match, true AS snappy,
              CAST("rows" AS BIGINT) AS "rows"
       FROM (SELECT 'regional_analysis' AS table_name, * FROM regions
             UNION ALL SELECT 'a+b/regional_analysis', * FROM regions

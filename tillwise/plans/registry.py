@@ -36,6 +36,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 YEAR = 1998
 SHORT_YEAR = 2001  # has three quarters only
 DAY, NEXT_DAY = "2024-01-15", "2024-01-16"
+COMMUTE_SLOTS = (("way there", 7, 9), ("way back", 16, 18))
 AS_OF = "2026-01-01 00:00:00"
 CREDIT_STATUS = "O"
 RULES = Rules(
@@ -281,6 +282,14 @@ def hourly_ratios(spark, d):
     return declared.hourly_ratios(evt(spark, d, approved=False))
 
 
+@query
+def hourly_ratios_by_commute(spark, d):
+    """The same with another table of slots."""
+    return declared.hourly_ratios(
+        evt(spark, d, approved=False), slots=COMMUTE_SLOTS, rest="rest of the day"
+    )
+
+
 @query
 def regional_profile(spark, d):
     fact = txn(spark, d, "transaction_id region category merchant card_type amount")
@@ -522,9 +531,11 @@ def output_manifest(spark, d):
             F.max("_metadata.file_size").alias("size"), F.count("*").alias("rows")
         )
         stored.append(
-            sizes.agg(F.sum("size").alias("scanned"), F.sum("rows").alias("rows")).withColumn(
-                "table_name", F.lit(table)
-            )
+            sizes.agg(
+                F.sum("size").alias("scanned"),
+                F.sum("rows").alias("rows"),
+                F.bool_and(F.endswith("file_path", F.lit(".snappy.parquet"))).alias("snappy"),
+            ).withColumn("table_name", F.lit(table))
         )
     tables = manifest_of(spark, root, depth=2).withColumn(
         "table_name", F.regexp_replace("table_name", "^regional_analysis/.*", "regional_analysis")
@@ -533,7 +544,7 @@ def output_manifest(spark, d):
         tables.groupBy("table_name")
         .agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"))
         .join(reduce(DataFrame.unionByName, stored), "table_name")
-        .select("table_name", "files", (F.col("bytes") == F.col("scanned")).alias("bytes_match"), "rows")
+        .select("table_name", "files", (F.col("bytes") == F.col("scanned")).alias("bytes_match"), "snappy", "rows")
     )
 
 
