@@ -52,8 +52,8 @@ from tillwise.sinks.scratch import materialize
 
 DISCOUNT = 0.75
 #: Tokens of a block, and tokens of all blocks for each shard.
-BLOCK = 1 << 21
-SHARD = 1 << 22
+BLOCK = 1 << 20
+SHARD = 1 << 21
 
 END = np.uint64(0x452821E638D01377)
 BEGIN = np.uint64(0xBE5466CF34E90C6C)
