@@ -195,3 +195,30 @@ def test_planted_passages_are_found(spark):
     whole = {(d, i) for d, text in docs.items() for i, item in items.items() if f" {item} " in f" {text} "}
     found = {(r["doc_id"], r["item_id"]) for r in queries.op2_decontaminate(spark, data_dir).collect()}
     assert whole and whole <= found
+
+
+@pytest.mark.parametrize("name", ["op6_mixing", "op7_secret_scan", "op8_license_scan"])
+def test_native_queries_run_no_python_and_pair_nothing(spark, name):
+    plan = queries.QUERIES[name](spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    for word in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoop"):
+        assert word not in plan
+
+
+def test_hot_groups_lose_no_row(spark):
+    """One source, one text and one near-copy group each hold a third of all rows."""
+    from pyspark.sql import functions as F
+
+    from tillwise.llm import mixing, simhash
+
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
+    text = " ".join(words * 40)
+    rows = [(k, text, "hot") for k in range(400)]
+    rows += [(k, f"{text} tail{k}", "near") for k in range(400, 800)]
+    rows += [(k, " ".join(f"{w}{k}" for w in words), f"s{k % 7}") for k in range(800, 1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    assert len(found) == 1200
+    assert all(found[k] == 0 for k in range(400)) and all(found[k] == k for k in range(800, 1200))
+    kept = simhash.without_duplicates(docs)
+    assert kept.count() == len(set(found.values())) and kept.columns == docs.columns
+    assert mixing.mix(docs).agg(F.count("*"), F.count_distinct("doc_id")).first() == (1200, 1200)
