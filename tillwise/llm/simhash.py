@@ -214,7 +214,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     )
     ids = printed.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     roots = checkpointed(_groups(printed).join(ids, "fp"))
-    groups = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    groups = with_hint(checkpointed(roots.groupBy("root").agg(F.min("first_id").alias("component_id"))))
     named = checkpointed(roots.select("fp", "root").join(groups, "root").select("fp", "component_id"))
     return printed.join(with_hint(named), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
@@ -234,13 +234,13 @@ def without_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "key")
     rooted = printed.groupBy("id", "key", "fp").agg(F.count(F.lit(1)).alias("rows")).join(_groups(printed), "fp")
     rooted = checkpointed(rooted)
-    first = rooted.groupBy("root").agg(F.min(rank).alias("first"))
+    # of its own, so that a join with a large group can be broadcast or split
+    first = with_hint(checkpointed(rooted.groupBy("root").agg(F.min(rank).alias("first"))))
     fate = checkpointed(
         rooted.join(first, "root")
         .withColumn("goes", (F.col("key") != F.col("first.key")) | ~F.col("id").eqNullSafe(F.col("first.id")))
         .where(F.col("goes") | (F.col("rows") > 1))
         .select(F.col("key").alias("__key"), F.col("id").alias("__id"), "goes")
-        .distinct()
     )
     goes = free_name(docs, "goes")
     marked = docs.withColumn("__doc", key).join(
