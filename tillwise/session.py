@@ -26,7 +26,7 @@ def conf_for_cores(cores: int) -> dict[str, str]:
     """Settings that follow the size of the cluster."""
     return {
         # start wide, let adaptive execution merge what turns out small
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(200, 8 * cores)),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(8 * cores),
         # listing tasks for tables of many directories; the default starts one per directory
         "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * cores),
     }
