@@ -232,9 +232,10 @@ def without_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         docs.select(F.col(id_col).alias("id"), key.alias("key"), fingerprint_of(F.col(text_col)).alias("fp"))
     )
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "key")
-    rooted = printed.groupBy("id", "key", "fp").agg(F.count(F.lit(1)).alias("rows")).join(_groups(printed), "fp")
-    rooted = checkpointed(rooted)
-    # of its own, so that a join with a large group can be broadcast or split
+    # tables of their own, so that joins with a hot text or a large group can be broadcast or split
+    groups = with_hint(checkpointed(_groups(printed)))
+    rows = printed.groupBy("id", "key", "fp").agg(F.count(F.lit(1)).alias("rows"))
+    rooted = checkpointed(rows.join(groups, "fp"))
     first = with_hint(checkpointed(rooted.groupBy("root").agg(F.min(rank).alias("first"))))
     fate = checkpointed(
         rooted.join(first, "root")
