@@ -170,6 +170,33 @@ def test_language_model_scores(spark, documents):
     assert sum(better) > 0.5 * len(better)
 
 
+def test_language_model_has_order_three(spark, documents):
+    def tokens(text):
+        return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + [None]
+
+    train = [tokens(r["text"]) for d, r in documents.items() if _crc(d, 7) != 2]
+    single = Counter(t for text in train for t in text)
+    known = sum(single.values()) + len(single) + 1
+    grams = {k: Counter(g for t in train for g in zip(*([*[0] * (k - 1), *t][i:] for i in range(k)))) for k in (2, 3)}
+    total, after = Counter(), Counter()
+    for gram, n in [*grams[2].items(), *grams[3].items()]:
+        total[gram[:-1]] += n
+        after[gram[:-1]] += 1
+    found = {r["doc_id"]: r for r in queries.op10_ngram_lm(spark, f"{DATA}/sf0.001").collect()}
+    better = []
+    for doc_id, doc in documents.items():
+        text, row = tokens(doc["text"]), found[doc_id]
+        full = 0.0
+        for u, v, w in zip([0, 0, *text], [0, *text], text):
+            p = (single[w] + 1) / known
+            for h in ((v,), (u, v)):
+                p = max(grams[len(h) + 1][*h, w] - 0.75, 0) / total[h] + 0.75 * after[h] / total[h] * p if total[h] else p
+            full += math.log10(p)
+        assert row["trigram_score"] == pytest.approx(full, abs=0.041 * len(text) + 1e-6)
+        better.append(abs(row["trigram_score"] - full) < 0.1 * abs(row["score"] - full))
+    assert sum(better) > 0.9 * len(better)
+
+
 def test_token_counts_add_up(spark, documents):
     from tillwise.llm import token_counts
 

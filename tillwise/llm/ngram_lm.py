@@ -1,29 +1,34 @@
 """Score texts with an n-gram language model kept in Elias-Fano tries.
 
-Model: interpolated bigrams over words and one end token a text,
+Model: interpolated trigrams over words and one end token a text,
 
-    p(w | v) = f(v, w) + back(v) p(w)
-    f(v, w)  = max(c(v w) - DISCOUNT, 0) / c(v),  back(v) = DISCOUNT T(v) / c(v)
-    p(w)     = (c(w) + 1) / (N + V + 1)
+    p(w | u v) = f(u v, w) + back(u v) p(w | v)
+    p(w | v)   = f(v, w) + back(v) p(w)
+    f(h, w)    = max(c(h w) - DISCOUNT, 0) / c(h),  back(h) = DISCOUNT T(h) / c(h)
+    p(w)       = (c(w) + 1) / (N + V + 1)
 
-with counts over all training texts and T(v) the number of different words after v
-(back(v) = 1 if v was never seen); a text starts after a begin token. Probabilities sum
-to one, an unseen word standing for all unseen words.
+with counts over all training texts and T(h) the number of different words after the
+context h (back(h) = 1 if h was never seen); a text starts after begin tokens. Probabilities
+sum to one, an unseen word standing for all unseen words. base_score is of order one, score
+of order two, trigram_score of order three.
 
 No machine holds the model. Texts are packed into blocks, and each block asks for every
-distinct word and every distinct pair of words once. Questions and training counts go
-to shards in one shuffle: words by their hash, pairs by the hash of their first word;
-pairs of words so frequent that they would make a shard hot are dealt by the second word.
-A shard builds a trie of its pairs: contexts, pointers and successors are monotone
-sequences in Elias-Fano code, f and back are quantised to one byte, and all levels lie
-in one memory-mapped region. A pair is looked up by a search for the successor within its
-context's range. Answers (a count for a word, a byte for a pair and for a context) return
-to the blocks. T of a hot word is summed over the shards.
+distinct word, every distinct pair and every distinct triple of words once. Questions and
+training counts of an order go to shards in one shuffle: words by their hash, pairs and
+triples by the hash of their context; those with a context so frequent that it would make
+a shard hot are dealt by the last word.
+A shard builds a trie of its contexts and their successors: contexts, pointers and successors
+are monotone sequences in Elias-Fano code, f and back are quantised to one byte, and all levels
+lie in one memory-mapped region. A pair or triple is looked up by a search for the successor
+within its context's range. Answers (a count for a word, a byte for a pair or triple and for a
+context) return to the blocks. T of a hot context is summed over the shards. The orders are
+worked on one after the other, each into a written table, and the shuffle of one is removed
+before the next begins.
 
 So all counts grow with the corpus, memory is bounded by blocks and shards, and the
-volume moved is in proportion to the distinct words and pairs of each block.
+volume moved is in proportion to the distinct words, pairs and triples of each block.
 
-Words are known by 64 bits of a hash, successors of one context by 40. Blocks are
+Words and contexts are known by 64 bits of a hash, successors of one context by 40. Blocks are
 written to the shared folder once and read from there, so a lost executor repeats its
 own part only.
 
@@ -38,18 +43,19 @@ from __future__ import annotations
 import math
 import mmap
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import words
-from tillwise.llm.shared import checkpointed
 from tillwise.sinks.scratch import materialize
 
+ORDER = 3
 DISCOUNT = 0.75
 #: Tokens of a block, and tokens of all blocks for each shard.
 BLOCK = 1 << 20
@@ -62,6 +68,7 @@ SUCCESSOR_BITS = 40
 STEP = 0.04
 
 _U64 = np.uint64
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class EliasFano:
@@ -192,6 +199,27 @@ def _whole(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def _sorted_planes(values: np.ndarray) -> bytes:
+    """Long integers byte by byte, compressed; in ascending runs the upper bytes take little."""
+    return zstandard.compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 3)
+
+
+def _sorted_whole(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+@contextmanager
+def _removing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written meanwhile go when it has been written."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 BODY = (
     "block long, ids array<string>, held array<boolean>, sizes binary, tokens binary, vocabulary binary,"
     " n_tokens long, n_train long, n_train_docs long"
@@ -303,35 +331,54 @@ def _word_answers(body: DataFrame, bits: int, hot_from: float) -> DataFrame:
     )
 
 
-def _pairs(tokens: np.ndarray, sizes: np.ndarray, n_words: int) -> np.ndarray:
-    """Each token with the one before it as one number; the begin token is number n_words."""
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[np.concatenate(([0], np.cumsum(sizes)[:-1]))] = n_words
-    return before * (n_words + 1) + tokens
+def _joined(contexts: np.ndarray, successors: np.ndarray) -> np.ndarray:
+    """The hash of a longer context: one with a successor (of SUCCESSOR_BITS) after it."""
+    return words.mixed(contexts ^ words.mixed(successors))
+
 
+def _short(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> _U64(64 - SUCCESSOR_BITS)
 
-def _dealt(pairs: np.ndarray, vocabulary: np.ndarray, hot: np.ndarray, bits: int):
-    """Distinct pairs in the order in which they are sent: their shards, contexts, successors."""
-    context = np.append(vocabulary, BEGIN)[pairs // (len(vocabulary) + 1)]
-    successor = vocabulary[pairs % (len(vocabulary) + 1)]
+
+def _grams(tokens: np.ndarray, sizes: np.ndarray, vocabulary: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each token with its context of order - 1 tokens as one number: the context's number
+    times n + 1 plus the token, for n words; and the contexts' hashes, BEGIN the last one."""
+    first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    numbers, contexts = tokens, np.append(vocabulary, BEGIN)
+    for length in range(2, order + 1):
+        before = np.empty_like(tokens)
+        before[1:] = numbers[:-1]
+        before[first] = len(contexts) - 1
+        grams = before * (len(vocabulary) + 1) + tokens
+        if length < order:
+            distinct, numbers = np.unique(grams, return_inverse=True)
+            context, successor = np.divmod(distinct, len(vocabulary) + 1)
+            contexts = np.append(_joined(contexts[context], _short(vocabulary[successor])), BEGIN)
+    return grams, contexts
+
+
+def _dealt(grams: np.ndarray, contexts: np.ndarray, vocabulary: np.ndarray, hot: np.ndarray, bits: int):
+    """Distinct grams in the order in which they are sent: their shards, contexts, successors."""
+    number, successor = np.divmod(grams, len(vocabulary) + 1)
+    context, successor = contexts[number], vocabulary[successor]
     by = np.where(np.isin(context, hot), words.mixed(successor), context)
     shards = _shard_of(by, bits)
     order = np.lexsort((context, shards))
-    return order, shards[order], context[order], successor[order] >> _U64(64 - SUCCESSOR_BITS)
+    return order, shards[order], context[order], _short(successor[order])
 
 
 def _runs(shards: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-    """Where a new context begins in dealt pairs."""
+    """Where a new context begins in dealt grams."""
     new = np.ones(len(contexts), dtype=bool)
     new[1:] = (contexts[1:] != contexts[:-1]) | (shards[1:] != shards[:-1])
     return new
 
 
-def _pair_answers(body: DataFrame, bits: int, hot: dict[int, int]) -> DataFrame:
+def _gram_answers(body: DataFrame, order: int, bits: int, hot: dict[int, int], hot_from: float) -> DataFrame:
     """Rows (block, shard, backs, codes): the quantised probabilities of a block's contexts
-    and pairs in a shard, 0 if unseen. The first row of a shard also has, for each hot word
-    in order, the number of different words after it in the shard."""
+    and grams (pairs, triples) in a shard, 0 if unseen. The first row of a shard also has, for
+    each hot context in order, the number of different words after it in the shard, and below
+    the highest order the contexts of the next one with hot_from tokens or more."""
     hot_words = np.array(sorted(hot), dtype=np.uint64)
     hot_counts = np.array([hot[w] for w in sorted(hot)], dtype=np.float64)
     shared = body.sparkSession.sparkContext.broadcast((hot_words, hot_counts))
@@ -341,13 +388,11 @@ def _pair_answers(body: DataFrame, bits: int, hot: dict[int, int]) -> DataFrame:
             for row in batch.to_dict("records"):
                 vocabulary = np.frombuffer(row["vocabulary"], dtype=np.uint64)
                 tokens, train, sizes = _training(row)
-                pairs = _pairs(tokens, sizes, len(vocabulary))
-                distinct = np.unique(pairs)
-                learnt, times = np.unique(pairs[train], return_counts=True)
-                counts = np.zeros(len(distinct), dtype=np.uint32)
-                counts[np.searchsorted(distinct, learnt)] = times
-                order, shards, contexts, successors = _dealt(distinct, vocabulary, shared.value[0], bits)
-                counts = counts[order]
+                grams, known = _grams(tokens, sizes, vocabulary, order)
+                distinct, back = np.unique(grams, return_inverse=True)
+                counts = np.bincount(back[train], minlength=len(distinct))
+                sent, shards, contexts, successors = _dealt(distinct, known, vocabulary, shared.value[0], bits)
+                counts = counts[sent]
                 cuts = np.searchsorted(shards, np.arange((1 << bits) + 1))
                 rows = []
                 new = _runs(shards, contexts)
@@ -359,7 +404,7 @@ def _pair_answers(body: DataFrame, bits: int, hot: dict[int, int]) -> DataFrame:
                             (
                                 k,
                                 row["block"],
-                                contexts[a:b][starts].tobytes(),
+                                _sorted_planes(contexts[a:b][starts]),
                                 _planes(np.diff(np.append(starts, b - a))),
                                 five.tobytes(),
                                 _planes(counts[a:b]),
@@ -374,7 +419,7 @@ def _pair_answers(body: DataFrame, bits: int, hot: dict[int, int]) -> DataFrame:
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:
         asked = [
-            (np.frombuffer(c, dtype=np.uint64), _whole(s).astype(np.int64), wide(five))
+            (_sorted_whole(c), _whole(s).astype(np.int64), wide(five))
             for c, s, five in zip(group["contexts"], group["sizes"], group["successors"])
         ]
         told = np.concatenate([_whole(c) for c in group["counts"]])
@@ -387,7 +432,7 @@ def _pair_answers(body: DataFrame, bits: int, hot: dict[int, int]) -> DataFrame:
         owner = (keys >> _U64(SUCCESSOR_BITS)).astype(np.int64)
         sizes = np.bincount(owner, minlength=len(contexts))
         total = np.bincount(owner, weights=counts, minlength=len(contexts))
-        # pairs of a hot word lie in several shards, so its count is given
+        # grams of a hot context lie in several shards, so its count is given
         hot_words, hot_counts = shared.value
         place = np.minimum(np.searchsorted(hot_words, contexts), len(hot_words) - 1)
         total = np.where(hot_words[place] == contexts, hot_counts[place], total)
@@ -398,6 +443,8 @@ def _pair_answers(body: DataFrame, bits: int, hot: dict[int, int]) -> DataFrame:
         types = np.zeros(len(hot_words), dtype=np.int64)
         here = hot_words[place] == contexts
         types[place[here]] = sizes[here]
+        often = counts >= hot_from if order < ORDER else np.zeros(len(counts), dtype=bool)
+        next_hot = _joined(contexts[owner[often]], successors[often]).astype(np.int64).tolist()
         shard = int(group["shard"].iat[0])
         found = trie.lookup(*(np.concatenate(x) for x in zip(*asked)))
         cuts = [np.cumsum([0, *map(len, x)]) for x in list(zip(*asked))[::2]]  # of contexts, of pairs
@@ -407,20 +454,26 @@ def _pair_answers(body: DataFrame, bits: int, hot: dict[int, int]) -> DataFrame:
                 shard,
                 *(x[c[k] : c[k + 1]].tobytes() for x, c in zip(found, cuts)),
                 [] if k else types.tolist(),
+                [] if k else next_hot,
+                [] if k else counts[often].astype(np.int64).tolist(),
             )
             for k, block in enumerate(group["block"])
         ]
-        return pd.DataFrame(rows, columns=["block", "shard", "backs", "codes", "hot_types"])
+        return pd.DataFrame(rows, columns=["block", "shard", f"backs{order}", f"codes{order}", "hot_types", "hot", "hot_counts"])
 
     return (
         body.select("block", "held", "sizes", "tokens", "vocabulary")
         .mapInPandas(ask, "shard int, block long, contexts binary, sizes binary, successors binary, counts binary")
         .groupBy("shard")
-        .applyInPandas(answer, "block long, shard int, backs binary, codes binary, hot_types array<long>")
+        .applyInPandas(
+            answer,
+            f"block long, shard int, backs{order} binary, codes{order} binary,"
+            " hot_types array<long>, hot array<long>, hot_counts array<long>",
+        )
     )
 
 
-SCORED = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+SCORED = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, trigram_score double"
 
 
 def score(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -431,36 +484,48 @@ def score(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_col
     ).head()
     tokens, train_docs = size["tokens"] or 0, size["docs"] or 0
     bits = max(4, math.ceil(math.log2(max(1, size["asked"] or 0) / SHARD)))
-    # a word that is hot has this share of all tokens at least, so there are 4 a shard at most
+    # a context that is hot has this share of all tokens at least, so there are 4 a shard at most
     hot_from = max(1.0, tokens / (4 << bits))
-    by_word = checkpointed(_word_answers(body, bits, hot_from))
+    with _removing_shuffles(docs.sparkSession):
+        by_word = materialize(_word_answers(body, bits, hot_from), "lm-words")
     sums = by_word.agg(F.sum("types").alias("types")).head()
-    hot_rows = by_word.where(F.size("hot") > 0).select("hot", "hot_counts").collect()
-    hot = {w & 0xFFFFFFFFFFFFFFFF: n for r in hot_rows for w, n in zip(r["hot"], r["hot_counts"])}
-    hot[int(BEGIN)] = train_docs
     known = float(tokens + (sums["types"] or 0) + 1)
-    by_pair = materialize(_pair_answers(body, bits, hot), "lm-pairs")
-    hot_words = np.array(sorted(hot), dtype=np.uint64)
-    types = {r["pos"]: r["types"] for r in by_pair.select(F.posexplode("hot_types")).groupBy("pos").agg(F.sum("col").alias("types")).collect()}
-    hot_backs = np.array([DISCOUNT * types.get(k, 0) / max(1, hot[w]) or 1.0 for k, w in enumerate(sorted(hot))])
+    # of each order: bits of the shards, hot contexts, their weights of the lower order, answers
+    levels, below = [], by_word
+    for order in range(2, ORDER + 1):
+        hot_rows = below.where(F.size("hot") > 0).select("hot", "hot_counts").collect()
+        hot = {w & 0xFFFFFFFFFFFFFFFF: n for r in hot_rows for w, n in zip(r["hot"], r["hot_counts"])}
+        hot[int(BEGIN)] = train_docs
+        # there are more triples than pairs, and far more contexts of them
+        level_bits = bits + order - 2
+        with _removing_shuffles(docs.sparkSession):
+            below = materialize(_gram_answers(body, order, level_bits, hot, max(1.0, tokens / (4 << level_bits + 1))), f"lm-order-{order}")
+        types = {r["pos"]: r["types"] for r in below.select(F.posexplode("hot_types")).groupBy("pos").agg(F.sum("col").alias("types")).collect()}
+        hot_backs = np.array([DISCOUNT * types.get(k, 0) / max(1, hot[w]) or 1.0 for k, w in enumerate(sorted(hot))])
+        levels.append((order, level_bits, np.array(sorted(hot), dtype=np.uint64), hot_backs, below))
+    tables = [(order, level_bits, hot_words, hot_backs) for order, level_bits, hot_words, hot_backs, _ in levels]
 
     def finish(group: pd.DataFrame) -> pd.DataFrame:
         row = group[group["tokens"].notna()].iloc[0]
         told = group[group["tokens"].isna()].sort_values("shard")
         counts = np.frombuffer(b"".join(told["counts"].dropna()), dtype=np.int64)
-        codes = np.frombuffer(b"".join(told["codes"].dropna()), dtype=np.uint8)
-        backs = np.frombuffer(b"".join(told["backs"].dropna()), dtype=np.uint8)
         vocabulary = np.frombuffer(row["vocabulary"], dtype=np.uint64)
         tokens_here, _, sizes = _training(row)
-        distinct, back = np.unique(_pairs(tokens_here, sizes, len(vocabulary)), return_inverse=True)
-        order, shards, contexts, _ = _dealt(distinct, vocabulary, hot_words, bits)
-        new = _runs(shards, contexts)
-        lower = np.where(backs > 0, restored(backs), 1.0)
-        place = np.minimum(np.searchsorted(hot_words, contexts[new]), len(hot_words) - 1)
-        lower = np.where(hot_words[place] == contexts[new], hot_backs[place], lower)[np.cumsum(new) - 1]
         unigram = (counts + 1) / known
-        p = np.empty(len(distinct))
-        p[order] = restored(codes) + lower * unigram[distinct[order] % (len(vocabulary) + 1)]
+        p = [unigram[tokens_here]]
+        for order, level_bits, hot_words, hot_backs in tables:
+            codes = np.frombuffer(b"".join(told[f"codes{order}"].dropna()), dtype=np.uint8)
+            backs = np.frombuffer(b"".join(told[f"backs{order}"].dropna()), dtype=np.uint8)
+            grams, contexts = _grams(tokens_here, sizes, vocabulary, order)
+            distinct, at, back = np.unique(grams, return_index=True, return_inverse=True)
+            sent, shards, contexts, _ = _dealt(distinct, contexts, vocabulary, hot_words, level_bits)
+            new = _runs(shards, contexts)
+            lower = np.where(backs > 0, restored(backs), 1.0)
+            place = np.minimum(np.searchsorted(hot_words, contexts[new]), len(hot_words) - 1)
+            lower = np.where(hot_words[place] == contexts[new], hot_backs[place], lower)[np.cumsum(new) - 1]
+            here = np.empty(len(distinct))
+            here[sent] = restored(codes) + lower * p[-1][at[sent]]
+            p.append(here[back])
         first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         return pd.DataFrame(
             {
@@ -469,18 +534,21 @@ def score(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_col
                 "n_tokens": sizes,
                 "n_known": np.add.reduceat((counts > 0)[tokens_here].astype(np.int64), first),
                 "train_tokens": tokens,
-                "base_score": np.add.reduceat(np.log10(unigram)[tokens_here], first),
-                "score": np.add.reduceat(np.log10(p)[back], first),
+                "base_score": np.add.reduceat(np.log10(p[0]), first),
+                "score": np.add.reduceat(np.log10(p[1]), first),
+                "trigram_score": np.add.reduceat(np.log10(p[2]), first),
             }
         )
 
     def with_all(part: DataFrame) -> DataFrame:
         """The columns of texts and answers, null where a part has none."""
-        kinds = {"shard": "int", "counts": "binary", "backs": "binary", "codes": "binary", **dict(body.drop("block").dtypes)}
+        kinds = {"shard": "int", "counts": "binary", **{f"{x}{t[0]}": "binary" for t in tables for x in ("backs", "codes")}, **dict(body.drop("block").dtypes)}
         missing = {c: F.lit(None).cast(kind) for c, kind in kinds.items() if c not in part.columns}
         return part.withColumns(missing).select("block", *kinds)
 
     texts = body.select("block", "ids", "held", "sizes", "tokens", "vocabulary")
-    parts = with_all(texts).unionAll(with_all(by_word.select("block", "shard", "counts"))).unionAll(with_all(by_pair.drop("hot_types")))
+    parts = with_all(texts).unionAll(with_all(by_word.select("block", "shard", "counts")))
+    for *_, answers in levels:
+        parts = parts.unionAll(with_all(answers))
     kind = docs.select(F.col(id_col)).schema[0].dataType
     return parts.groupBy("block").applyInPandas(finish, SCORED).withColumn("doc_id", F.col("doc_id").cast(kind))
