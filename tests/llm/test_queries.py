@@ -197,6 +197,21 @@ def test_language_model_has_order_three(spark, documents):
     assert sum(better) > 0.9 * len(better)
 
 
+def test_every_notice_of_a_text_is_found(spark):
+    """Texts with all notices, and with one notice beside rare words of others."""
+    from tillwise.llm import license_scan
+
+    notices = [t.notice for t in license_scan.TEMPLATES]
+    stray = "mozilla lesser commons unencumbered domain isc"
+    rows = [(0, f" {stray} . ".join(notices)), (1, "plain words")]
+    rows += [(10 + k, f"{stray}. {notice}. {stray}") for k, notice in enumerate(notices)]
+    found = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[0]["labels"] == ",".join(sorted({t.label for t in license_scan.TEMPLATES}))
+    assert (found[1]["labels"], found[1]["score"]) == ("", 0.0)
+    for k, template in enumerate(license_scan.TEMPLATES):
+        assert template.label in found[10 + k]["labels"].split(",") and found[10 + k]["score"] == 1.0
+
+
 def test_token_counts_add_up(spark, documents):
     from tillwise.llm import token_counts
 

@@ -2,8 +2,8 @@
 
 Document frequencies of all template words are counted over all documents. Every
 template is indexed under its rarest words (highest IDF) that the documents use at
-all: word -> (template, position). A document looks up the rarest indexed words
-it has; a posting moved by the word's place in the document gives the place where
+all: word -> (template, position). A document looks up every indexed word it has,
+so the words of one notice take no other's place; a posting moved by the word's place in the document gives the place where
 the template would begin. Where two different words or more agree on that place, the
 template is a candidate, and it is accepted if its key phrase stands in the text.
 
@@ -31,10 +31,11 @@ from tillwise.llm.shared import checkpointed, with_hint
 #: Words: digits, lower-case letters and anything beyond ASCII.
 LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: Words under which a template is indexed, and words that a document looks up.
+#: Words under which a template is indexed, and those that must agree on a place.
 INDEXED_WORDS = 6
-LOOKED_UP_WORDS = 4
 AGREEING_WORDS = 2
+#: Words that a document looks up in ORACLE. The scan looks up all.
+LOOKED_UP_WORDS = 4
 
 
 @dataclass(frozen=True)
@@ -153,10 +154,9 @@ def candidates(worded: DataFrame, postings: list[tuple[str, int, int, int]]) ->
     spark = worded.sparkSession
     # as long as the templates' texts, whatever the documents
     index = F.broadcast(spark.createDataFrame(postings, "word string, frequency long, template int, place int"))
-    rarity = sorted({(frequency, word) for word, frequency, _, _ in postings})
-    in_order = _texts([word for _, word in rarity])  # array_intersect keeps the order of its first argument
+    indexed = _texts(sorted({word for word, _, _, _ in postings}))
     return (
-        worded.withColumn("rare", F.slice(F.array_intersect(in_order, "words"), 1, LOOKED_UP_WORDS))
+        worded.withColumn("rare", F.array_intersect(indexed, "words"))
         .where(F.size("rare") >= AGREEING_WORDS)
         .select("doc", "rare", F.posexplode("words").alias("at", "word"))
         .where(F.array_contains("rare", F.col("word")))
