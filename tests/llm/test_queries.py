@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -197,6 +198,41 @@ def test_language_model_has_order_three(spark, documents):
     assert sum(better) > 0.9 * len(better)
 
 
+def test_near_copies_reach_their_similarity(spark):
+    """All pairs of 0.8 and more are joined, texts of one fingerprint that are not similar are not."""
+    from itertools import combinations
+
+    from tillwise.llm import simhash
+
+    docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet").limit(600)
+    dice = random.Random(3)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    for k in range(60):  # 200 words, 1 to 4 of which are changed far apart: similarity 0.82 to 0.95
+        text = [f"w{dice.randrange(4000)}" for _ in range(200)]
+        rows.append((10**6 + 2 * k, " ".join(text)))
+        for place in range(20, 20 + 40 * (1 + k % 4), 40):
+            text[place] += "x"
+        rows.append((10**6 + 2 * k + 1, " ".join(text)))
+    sets = {}
+    for i, text in rows:
+        found = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets[i] = {tuple(found[k : k + 5]) for k in range(max(1, len(found) - 4))}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in combinations(sorted(sets), 2):
+        small, large = sorted((len(sets[a]), len(sets[b])))
+        if small >= 0.8 * large and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    left = simhash.without_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in left} == {find(i) for i in sets}
+
+
 def test_every_notice_of_a_text_is_found(spark):
     """Texts with all notices, and with one notice beside rare words of others."""
     from tillwise.llm import license_scan

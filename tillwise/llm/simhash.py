@@ -38,6 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm import near_copies
 from tillwise.llm.components import components
 from tillwise.llm.shared import checkpointed, free_name, with_hint
 
@@ -222,20 +223,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def without_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with one document of each group: the one with the smallest id (null last),
-    then the smallest hash. Of rows that repeat id and text, one stays.
+    """`docs` with one document of each group of near copies (near_copies: Jaccard similarity
+    0.8 on 5-word shingles): the one with the smallest id (null last), then the smallest hash. Of rows that repeat id and text, one stays.
 
     Texts are shuffled only if more rows are to go than a broadcast may hold.
     """
     key = F.xxhash64(F.col(id_col), F.col(text_col))
-    printed = checkpointed(
-        docs.select(F.col(id_col).alias("id"), key.alias("key"), fingerprint_of(F.col(text_col)).alias("fp"))
-    )
+    same = F.xxhash64(F.col(text_col))
+    keyed = checkpointed(docs.select(F.col(id_col).alias("id"), key.alias("key"), same.alias("doc")))
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "key")
     # tables of their own, so that joins with a hot text or a large group can be broadcast or split
-    groups = with_hint(checkpointed(_groups(printed)))
-    rows = printed.groupBy("id", "key", "fp").agg(F.count(F.lit(1)).alias("rows"))
-    rooted = checkpointed(rows.join(groups, "fp"))
+    groups = with_hint(checkpointed(near_copies.groups(docs.select(same.alias("doc"), F.col(text_col).alias("text")))))
+    rows = keyed.groupBy("id", "key", "doc").agg(F.count(F.lit(1)).alias("rows"))
+    rooted = checkpointed(rows.join(groups, "doc"))
     first = with_hint(checkpointed(rooted.groupBy("root").agg(F.min(rank).alias("first"))))
     fate = checkpointed(
         rooted.join(first, "root")
