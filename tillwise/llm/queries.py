@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tillwise.llm import (
     decontaminate,
+    filter_audit,
     language_id,
     license_scan,
     line_quality,
@@ -19,6 +20,8 @@ from tillwise.llm import (
     secret_scan,
     simhash,
     token_counts,
+    token_files,
+    vector_codes,
 )
 from tillwise.llm.shared import id_remainder
 
@@ -72,6 +75,18 @@ def op10_ngram_lm(spark: SparkSession, data_dir: str) -> DataFrame:
     return ngram_lm.score(docs, id_remainder(F.col("doc_id"), 7) == 2)
 
 
+def op11_vector_codes(spark: SparkSession, data_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, data_dir, "embeddings"))
+
+
+def op12_token_files(spark: SparkSession, data_dir: str) -> DataFrame:
+    return token_files.write_and_read(_table(spark, data_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, data_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, data_dir, "documents"), _table(spark, data_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, data_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, data_dir)
 
@@ -87,6 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_simhash": op9_simhash,
     "op10_ngram_lm": op10_ngram_lm,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_token_files": op12_token_files,
+    "op13_filter_audit": op13_filter_audit,
     "pipeline": pipeline,
 }
 
@@ -94,4 +112,6 @@ ORACLES: dict[str, str] = {
     "op6_mixing": mixing.ORACLE,
     "op7_secret_scan": secret_scan.ORACLE,
     "op8_license_scan": license_scan.ORACLE,
+    "op11_vector_codes": vector_codes.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
