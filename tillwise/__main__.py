@@ -7,7 +7,7 @@
     python -m tillwise benchmark --input data.csv --output out/benchmark
 
 `quality` exits with 1 when the verdict is FAIL, so that a scheduler stops there.
-`etl --only-touched-partitions` re-runs a day or a month and keeps the others.
+`etl --only-touched-partitions` takes whole days and replaces these in what is stored.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import sys
 
 from tillwise.plans import jobs
 from tillwise.session import get_session
+from tillwise.sinks.tables import read_output
 
 
 def main(arguments: list[str] | None = None) -> int:
@@ -30,6 +31,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--only-touched-partitions", action="store_true", help="etl")
     parser.add_argument("--rules", default="standard", help=f"quality: of {', '.join(jobs.RULE_SETS)}")
     parser.add_argument("--merchants", default=None, help="quality: Parquet merchant master")
+    parser.add_argument("--history", default=None, help="quality: stored fact the input is to be added to")
     args = parser.parse_args(arguments)
     if args.output is None and args.job != "quality":
         parser.error("--output is required")
@@ -37,8 +39,9 @@ def main(arguments: list[str] | None = None) -> int:
     try:
         if args.job == "quality":
             master = spark.read.parquet(args.merchants) if args.merchants else None
+            stored = read_output(spark, args.history, "partitioned_transactions") if args.history else None
             verdict = jobs.run_quality(
-                spark, args.input, args.output, rule_sets=args.rules.split(","), merchants=master
+                spark, args.input, args.output, rule_sets=args.rules.split(","), merchants=master, history=stored
             )
             print(verdict)
             return 1 if verdict == "FAIL" else 0

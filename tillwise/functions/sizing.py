@@ -27,6 +27,23 @@ def estimated_bytes(df: DataFrame) -> int:
     return (row["bytes"] or 0) if row["rows"] <= MAX_MEASURED_ROWS else UNKNOWN
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of all inputs below `df`, by the statistics of its plan and without a job; the share of a file
+    scan that its columns take of the stored ones. UNKNOWN if an input has none."""
+    found, todo = 0, [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        plan = todo.pop()
+        below = plan.children()
+        if below.isEmpty():
+            found += int(str(plan.stats().sizeInBytes()))
+        elif below.size() == 1 and below.apply(0).children().isEmpty():
+            # a projection or filter right above its input: its size follows the columns it needs
+            found += min(int(str(p.stats().sizeInBytes())) for p in (plan, below.apply(0)))
+        else:
+            todo += [below.apply(k) for k in range(below.size())]
+    return min(found, UNKNOWN)
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint for a dimension of at most `max_bytes`, `df` itself otherwise.
 

@@ -67,24 +67,26 @@ def top_merchants(df: DataFrame, top: int = 15) -> DataFrame:
 def amount_describe(df: DataFrame) -> DataFrame:
     """Count, mean, sample standard deviation, minimum and maximum, as numbers.
 
-    The deviation comes from exact sums of amounts and of their squares, so it does not
-    depend on the order in which rows are added.
+    Squared deviations are summed around a whole number next to the mean, in decimals: exact,
+    whatever the order of rows and however large the mean is against the deviation. What that
+    number is off is corrected for at the end.
     """
-    amount, n = F.col("amount"), F.col("count")
-    squares = F.sum(amount.cast("decimal(18,0)") * amount.cast("decimal(18,0)")).cast("double")
-    plain = F.sum(amount.cast("decimal(20,0)")).cast("double")
+    amount, n = F.col("amount"), F.col("count").cast("decimal(20,0)")
+    near = F.floor(F.col("mean")).cast("decimal(18,0)")
+    around = F.col("_squares") - 2 * near * F.col("_sum") + n * near * near
+    off = (F.col("_sum") - n * near).cast("double")
     return (
         df.agg(
             F.count("amount").alias("count"),
             mean_amount(digits=None).alias("mean"),
-            plain.alias("_sum"),
-            squares.alias("_squares"),
+            F.sum(amount.cast("decimal(18,0)")).cast("decimal(30,0)").alias("_sum"),
+            F.sum(amount.cast("decimal(18,0)") * amount.cast("decimal(18,0)")).alias("_squares"),
             F.min("amount").alias("min"),
             F.max("amount").alias("max"),
         )
         .withColumn(
             "stddev",
-            F.sqrt(F.try_divide(F.col("_squares") - F.try_divide(F.col("_sum") * F.col("_sum"), n), n - 1)),
+            F.sqrt(F.try_divide(around.cast("double") - F.try_divide(off * off, F.col("count")), F.col("count") - 1)),
         )
         .select("count", "mean", "stddev", "min", "max")
     )

@@ -8,10 +8,12 @@ numbers, so nothing but counts ever leaves the tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -304,6 +306,66 @@ def merchant_check(df: DataFrame, master: DataFrame, as_of: str | None = None) -
     return _check_rows(df, [check], as_of, counts={"merchant_master": unknown})
 
 
+def stored_already(batch: DataFrame, stored: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Groups of equal keys of the batch that are stored too, with their rows in the batch.
+
+    The batch is folded to its keys and meets the stored keys in a semi join, so neither
+    a key with many rows nor a large table is brought together. Where the batch is small
+    enough to be broadcast nothing stored is shuffled, and where it is not, Spark tests stored keys with
+    a Bloom filter of the batch's before the shuffle (`with_key_filter`). NULL keys are no duplicates of anything.
+    """
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    groups = batch.where(complete).groupBy(*keys).agg(F.count("*").alias("rows"))
+    return groups.join(stored.select(*keys).where(complete), list(keys), "left_semi")
+
+
+@contextmanager
+def with_key_filter(spark: SparkSession) -> Iterator[None]:
+    """Let Spark build Bloom filters for joins with a small side, whatever the size of the large one."""
+    settings = {
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def history_checks(
+    batch: DataFrame, stored: DataFrame, as_of: str | None = None, days: tuple[str, str] | None = None
+) -> DataFrame:
+    """Two check lines on a batch to be added to a stored fact: ids, and payments (time, card,
+    amount, merchant), that are stored already.
+
+    An id may be stored under any day, so of the whole fact its id column is read. Equal payments have equal
+    times, so only the months of the batch are read for them: `days` are its first and last day
+    (yyyy-MM-dd; else they are looked up).
+    """
+    if days is None:
+        days = tuple(batch.agg(F.min("txn_date"), F.max("txn_date")).first())
+    payments = stored
+    if days[0] is not None:
+        month = F.col("txn_year") * 12 + F.col("txn_month")
+        years = F.col("txn_year").between(int(days[0][:4]), int(days[1][:4]))  # prunes year folders
+        first, last = (int(day[:4]) * 12 + int(day[5:7]) for day in days)
+        payments = stored.where(years & month.between(first, last))
+    found = {
+        "id_stored": stored_already(batch, stored, ("transaction_id",)),
+        "payment_stored": stored_already(batch, payments, DOUBLE_PAYMENT_KEYS),
+    }
+    checks = [
+        Check("id_stored", "duplicates", "id_stored_already", "FAIL"),
+        Check("payment_stored", "duplicates", "payment_stored_already", "WARN"),
+    ]
+    counts = {name: groups.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("value")) for name, groups in found.items()}
+    return _check_rows(batch, checks, as_of, counts=counts)
+
+
 def renumbered(tables: list[DataFrame]) -> DataFrame:
     """Check tables one below the other, numbered through."""
     stacked = reduce(

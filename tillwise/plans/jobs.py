@@ -13,10 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.domains import AMOUNT_RANGES, CATEGORY_MASTER, Rules
-from tillwise.functions.calendar_cols import between_times, parse_timestamp
-from tillwise.operators import declared, explore, joins, layout, quality, quarterly, summaries
+from tillwise.functions.calendar_cols import between_times, in_year, parse_timestamp, with_calendar
+from tillwise.functions.measures import approved
+from tillwise.operators import (
+    daily_state,
+    declared,
+    explore,
+    joins,
+    layout,
+    quality,
+    quarterly,
+    summaries,
+)
 from tillwise.schema import BENCHMARK_REPORT
 from tillwise.sinks import catalog, scratch
+from tillwise.sinks.merge import Folder, months_of, replace_days
+from tillwise.sinks.numbering import number_members
 from tillwise.sinks.tables import (
     read_output,
     write_benchmark_report,
@@ -24,6 +36,7 @@ from tillwise.sinks.tables import (
     write_output,
     write_parquet,
 )
+from tillwise.session import size_shuffles
 from tillwise.sources import literals, readers
 
 SUMMARIES: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -44,6 +57,8 @@ DECLARED_ALL_STATUSES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "daily_approval_rate": declared.daily_rate_of_counts,
     "hourly_ratios": declared.hourly_ratios_of_counts,
 }
+# partial results by day, from which all summaries can be made
+STATE_OF_APPROVED = ("daily_totals", "daily_members", "daily_merchant_cards")
 QUARTERLY: dict[str, Callable[[DataFrame, int], DataFrame]] = {
     "quarterly_category_summary": quarterly.quarterly_category_summary,
     "quarterly_merchant_top10": quarterly.quarterly_merchant_top,
@@ -66,26 +81,118 @@ def run_etl(
 
     The summaries read the fact just written, not the CSV. `with_declared` adds the
     tables of `operators.declared`; two of these need all statuses and share one more
-    pass over the CSV. With `only_touched_partitions` the input is one day or month, say:
-    partitions it has no rows for are kept, and the summaries are made of the whole
-    fact, old months included.
+    pass over the CSV. Below {output}/state partial results by day are kept.
+
+    With `only_touched_partitions` the input holds whole days, one or many: they
+    replace what is stored for these days, all others stay. The summaries are then made from
+    the partial results, so the fact is read only in the months that are touched (by
+    `with_declared` for two tables as a whole). The same input can be run again as often as
+    wanted. A full run must have come before, and every row must have a date.
     """
     with scratch.owned(spark):
         everything, kept = readers.load_transactions(spark, input_path)
-        fact_path = write_output(
-            kept, output, "partitioned_transactions", only_touched_partitions=only_touched_partitions
-        )
+        size_shuffles(spark, everything)
+        if only_touched_partitions:
+            return _rerun_days(spark, everything, output, with_declared)
+        fact_path = write_output(kept, output, "partitioned_transactions")
         fact = read_output(spark, fact_path, "partitioned_transactions")
         tables = {**SUMMARIES, **(DECLARED if with_declared else {})}
         for name, summarize in tables.items():
             write_output(summarize(fact), output, name)
+        write_state(spark, everything, fact, output)
         if with_declared:
-            counts = scratch.materialize(declared.status_counts(everything), "status-counts")
+            counts = read_output(spark, f"{state_root(output)}/daily_status_counts", "daily_status_counts")
             for name, summarize in DECLARED_ALL_STATUSES.items():
                 write_output(summarize(counts), output, name)
     return summaries.etl_report(fact)
 
 
+def state_root(output: str) -> str:
+    return f"{output}/state"
+
+
+def write_state(
+    spark: SparkSession,
+    everything: DataFrame,
+    kept: DataFrame,
+    output: str,
+    days: Iterable[str] | None = None,
+    tables: Iterable[str] = (*STATE_OF_APPROVED, "daily_status_counts"),
+    grains: Iterable[str] = tuple(daily_state.GRAINS),
+) -> None:
+    """Write the partial results of these transactions, or put them in the place of those of
+    `days`. `kept` are the approved ones."""
+    root, tables, grains = state_root(output), set(tables), list(grains)
+    made: dict[str, DataFrame] = {}
+    if "daily_status_counts" in tables:
+        made["daily_status_counts"] = daily_state.daily_status_counts(everything)
+    if "daily_totals" in tables:
+        made["daily_totals"] = daily_state.daily_totals(kept, grains)
+    if tables & {"daily_members", "daily_merchant_cards"}:
+        numbers = number_members(daily_state.members_to_number(kept), root)
+        if "daily_members" in tables:
+            made["daily_members"] = daily_state.daily_members(kept, numbers, grains)
+        if "daily_merchant_cards" in tables:
+            made["daily_merchant_cards"] = daily_state.daily_merchant_cards(kept, numbers)
+    for name, df in made.items():
+        if days is None:
+            write_output(df, root, name)
+        else:
+            replace_days(df, root, name, days)
+
+
+def read_state(spark: SparkSession, output: str, name: str) -> DataFrame:
+    return read_output(spark, f"{state_root(output)}/{name}", name)
+
+
+def summaries_from_state(spark: SparkSession, output: str) -> dict[str, DataFrame]:
+    """The summaries of the approved transactions, from the partial results by day."""
+    totals, members, pairs = (read_state(spark, output, name) for name in STATE_OF_APPROVED)
+    return {
+        "daily_category_summary": daily_state.daily_category_summary(totals, members),
+        "merchant_ranking": daily_state.merchant_ranking(totals, pairs),
+        "hourly_pattern": daily_state.hourly_pattern(totals, members),
+        "regional_analysis": daily_state.regional_analysis(totals, members),
+        "monthly_trend": daily_state.monthly_trend(totals, members),
+    }
+
+
+def _rerun_days(spark: SparkSession, everything: DataFrame, output: str, with_declared: bool) -> DataFrame:
+    """`run_etl` for whole days of a table that is already stored."""
+    fact_path = f"{output}/partitioned_transactions"
+    if not all(Folder(spark, path).exists() for path in (fact_path, f"{state_root(output)}/daily_status_counts")):
+        raise ValueError(f"nothing to add days to: run the whole table to {output} first")
+    # one parse of the batch, then read by all passes below
+    everything = scratch.materialize(everything, "etl-days")
+    days = [r["txn_date"] for r in everything.select("txn_date").distinct().collect()]  # calendar days
+    if None in days:
+        raise ValueError("rows without a readable date cannot replace a day: mend them or run the whole table")
+    kept = approved(everything)
+    replace_days(kept, output, "partitioned_transactions", days)
+    write_state(spark, everything, kept, output, days)
+    found = summaries_from_state(spark, output)
+    # this table has a folder for each day: only those of the batch are written
+    daily = found.pop("daily_category_summary").where(F.col("txn_date").isin(days))
+    write_output(daily, output, "daily_category_summary", only_touched_partitions=True)
+    written = {r["txn_date"] for r in daily.select("txn_date").distinct().collect()}
+    folder = Folder(spark, f"{output}/daily_category_summary")
+    for day in set(days) - written:  # no approved row is left
+        folder.remove(f"txn_date={day}")
+    for name, df in found.items():
+        write_output(df, output, name)
+    totals, members = (read_state(spark, output, name) for name in STATE_OF_APPROVED[:2])
+    if with_declared:
+        write_output(daily_state.monthly_mom_growth(totals, members), output, "monthly_mom_growth")
+        fact = read_output(spark, fact_path, "partitioned_transactions")
+        for name in ("merchant_amount_rank", "regional_profile"):
+            write_output(DECLARED[name](fact), output, name)
+        counts = read_state(spark, output, "daily_status_counts")
+        for name, summarize in DECLARED_ALL_STATUSES.items():
+            write_output(summarize(counts), output, name)
+    report = daily_state.etl_report(totals, members)
+    return spark.createDataFrame(report.collect(), report.schema)  # one row
+
+
 def run_quarterly(
     spark: SparkSession,
     input_path: str,
@@ -106,11 +213,13 @@ def run_quarterly(
     with scratch.owned(spark):
         if input_format == "csv":
             _, kept = readers.load_transactions(spark, input_path)
+            size_shuffles(spark, kept)
             first = f"{year - 1}-10-01" if calendar else f"{year}-01-01"
             rows = between_times(kept, first, f"{year + 1}-01-01")
             fact = scratch.materialize(rows, f"quarterly-{year}")
         else:
             fact = read_output(spark, input_path, "partitioned_transactions")
+            size_shuffles(spark, in_year(fact, year))
         tables = dict(QUARTERLY)
         if calendar:
             tables["qoq_growth"] = lambda df, y: quarterly.qoq_growth(df, y, calendar=True)
@@ -133,12 +242,15 @@ def run_quality(
     rule_sets: Iterable[str] = ("standard",),
     ranges: Iterable[tuple[str, int, int]] = AMOUNT_RANGES,
     merchants: DataFrame | None = None,
+    history: DataFrame | None = None,
 ) -> str:
     """Check a CSV file and return PASS, WARN or FAIL.
 
     `rule_sets` adds to the standard checks the business rules, the amount ranges of the
-    categories, and the merchant master (`merchants`, with a column merchant). All count
-    in the verdict. With `output` the check table and the JSON report are written there.
+    categories, and the merchant master (`merchants`, with a column merchant). With
+    `history`, the stored fact that the file is to be added to, ids and payments that are stored already
+    are looked for. All count in the verdict. With `output` the check table and the JSON report are
+    written there.
     """
     wanted = set(rule_sets)
     if not wanted <= set(RULE_SETS):
@@ -150,12 +262,17 @@ def run_quality(
         more = [*more, quality.range_check(list(ranges), rules)]
     with scratch.owned(spark):
         raw = readers.cast_numbers(readers.read_csv_text(spark, input_path))
+        size_shuffles(spark, raw)
         # parsed once, read by three passes that need few columns each; removed at the end
         fact = scratch.materialize(raw, "quality-input")
         timed = fact.withColumn("transaction_ts", parse_timestamp("transaction_date"))
         tables = [quality.quality_checks(timed, rules, as_of, more=more)]
         if "merchants" in wanted:
             tables.append(quality.merchant_check(fact, merchants, as_of))
+        if history is not None:
+            with quality.with_key_filter(spark):
+                found = quality.history_checks(with_calendar(timed), history, as_of)
+                tables.append(scratch.materialize(found, "history-checks"))
         checks = tables[0] if len(tables) == 1 else quality.renumbered(tables)
         checks = scratch.materialize(checks, "quality-checks")
         if output is not None:
@@ -164,6 +281,15 @@ def run_quality(
         return quality.quality_gate(checks)
 
 
+def register_days(
+    spark: SparkSession, database: str, etl: str, days: Iterable[str], name: str = "partitioned_transactions"
+) -> None:
+    """Tell the catalog which months of the fact a re-run of these days touched: their folders
+    alone are looked at, the rest of the table is not listed."""
+    months = [{"txn_year": year, "txn_month": month} for year, month in months_of(days)]
+    catalog.refresh_partitions(spark, f"`{database}`.`{name}`", f"{etl}/{name}", months)
+
+
 def register_outputs(
     spark: SparkSession,
     database: str,

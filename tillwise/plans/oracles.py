@@ -348,12 +348,14 @@ BODIES: dict[str, str] = {
     "notebook_summary": f"""SELECT {ROWS}, {SUM}, {CARDS}, {MERCHANTS},
         round(CAST(sum(amount) AS DOUBLE) / 100000000, 1) AS amount_hundred_millions,
         CAST(sum(amount) // count(*) AS BIGINT) AS avg_amount FROM ok""",
-    "amount_describe": """SELECT count(amount) AS "count",
-        CAST(sum(amount) AS DOUBLE) / count(amount) AS mean,
-        sqrt((CAST(sum(CAST(amount AS HUGEINT) * amount) AS DOUBLE)
-              - CAST(sum(amount) AS DOUBLE) * CAST(sum(amount) AS DOUBLE) / count(amount))
-             / (count(amount) - 1)) AS stddev, min(amount) AS "min", max(amount) AS "max"
-        FROM ok""",
+    "amount_describe": """, sums AS (
+        SELECT count(amount) AS n, sum(CAST(amount AS HUGEINT)) AS s,
+               sum(CAST(amount AS HUGEINT) * amount) AS q, min(amount) AS low, max(amount) AS high FROM ok),
+      near AS (SELECT *, CAST(floor(CAST(s AS DOUBLE) / n) AS HUGEINT) AS m FROM sums)
+      SELECT n AS "count", CAST(s AS DOUBLE) / n AS mean,
+             sqrt((CAST(q - 2 * m * s + n * m * m AS DOUBLE)
+                   - CAST(s - n * m AS DOUBLE) * CAST(s - n * m AS DOUBLE) / n) / (n - 1)) AS stddev,
+             low AS "min", high AS "max" FROM near""",
     "category_distribution": f"""SELECT category, {ROWS}, {SUM},
         {_pct('count(*)', 'sum(count(*)) OVER ()', 1)} AS share_pct FROM txn GROUP BY category""",
     "approval_distribution": f"""SELECT approval_status, {ROWS},
@@ -526,6 +528,55 @@ BODIES: dict[str, str] = {
         (SELECT count(DISTINCT category) FROM txn) || ' rows', true""",
 }
 
+BODIES |= {
+    "dq_history": """, batch AS (SELECT *, k % 7 = 0 AS id_old, k % 11 = 0 AS pay_old FROM txn WHERE txn_year = 1998),
+      stored_ids AS (SELECT transaction_id FROM txn WHERE txn_year < 1998
+        UNION ALL SELECT transaction_id FROM batch WHERE id_old),
+      stored_pay AS (SELECT transaction_ts, card_no, amount, merchant FROM txn WHERE txn_year < 1998
+        UNION ALL SELECT transaction_ts, card_no, amount, merchant FROM batch WHERE pay_old),
+      counts AS (
+        SELECT 1 AS check_no, 'id_stored_already' AS check_name, 'FAIL' AS bad,
+               (SELECT count(*) FROM batch WHERE transaction_id IN (SELECT transaction_id FROM stored_ids)) AS n
+        UNION ALL SELECT 2, 'payment_stored_already', 'WARN',
+               (SELECT count(*) FROM batch b WHERE EXISTS (SELECT 1 FROM stored_pay s WHERE s.transaction_ts = b.transaction_ts
+                AND s.card_no = b.card_no AND s.amount = b.amount AND s.merchant = b.merchant))),
+      size AS (SELECT count(*) AS total FROM batch)
+      SELECT CAST(check_no AS INTEGER) AS check_no, 'duplicates' AS check_category, check_name,
+             CASE WHEN n > 0 THEN bad ELSE 'PASS' END AS status, n AS issue_count,
+             CAST(n AS DOUBLE) / total * 100 AS issue_pct,
+             printf('%.4f%%', CAST(n AS DOUBLE) / total * 100) AS issue_ratio, '' AS detail, total AS total_records
+      FROM counts, size""",
+    "lookup_card_clustered": """SELECT transaction_id, card_no, category, amount FROM txn
+        WHERE card_no = '****-****-****-1037'""",
+    "bucketed_merchant_join": f"""SELECT category,
+        merchant IN (SELECT s_name FROM supplier WHERE s_acctbal >= 0) AS in_master, {ROWS}, {SUM}
+        FROM txn GROUP BY ALL""",
+    "catalog_touched_months": BODIES["catalog_external_table"],
+    "footer_profile": """SELECT 'amount' AS column_name, count(*)::HUGEINT::BIGINT AS row_count,
+        CAST(count(*) - count(amount) AS BIGINT) AS null_count, CAST(NULL AS VARCHAR) AS min_text,
+        CAST(NULL AS VARCHAR) AS max_text, min(amount) AS min_amount, max(amount) AS max_amount FROM txn
+      UNION ALL SELECT 'merchant', count(*), count(*) - count(merchant), min(merchant), max(merchant), NULL, NULL FROM txn
+      UNION ALL SELECT 'transaction_id', count(*), count(*) - count(transaction_id), min(transaction_id),
+        max(transaction_id), NULL, NULL FROM txn""",
+}
+
+# Days that were run again must leave no trace.
+BODIES |= {
+    "etl_day_rerun": BODIES["partitioned_transactions"],
+    "rerun_daily_approval_rate": BODIES["daily_approval_rate"],
+    "rerun_hourly_ratios": BODIES["hourly_ratios"],
+    "rerun_daily_category": DAILY,
+    "rerun_hourly_pattern": BODIES["hourly_pattern"],
+    "rerun_regional_analysis": REGIONAL,
+    "rerun_monthly_trend": BODIES["monthly_trend"],
+    "rerun_monthly_mom_growth": BODIES["monthly_mom_growth"],
+    "rerun_merchant_ranking": RANKING,
+    "rerun_etl_report": BODIES["etl_report"],
+    "rerun_quarterly_category": QUARTER_CATEGORY,
+    "rerun_quarterly_region": BODIES["quarterly_region"],
+    "rerun_qoq_growth": BODIES["qoq_growth"],
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: VIEWS + body for name, body in BODIES.items()}

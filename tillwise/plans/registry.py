@@ -14,9 +14,22 @@ from pyspark.sql import functions as F
 
 from tillwise.domains import Rules
 from tillwise.functions.calendar_cols import with_calendar
-from tillwise.operators import declared, explore, joins, layout, quality, quarterly, summaries
+from tillwise.functions.measures import approved
+from tillwise.operators import (
+    clustered,
+    daily_state,
+    declared,
+    explore,
+    joins,
+    layout,
+    quality,
+    quarterly,
+    summaries,
+)
+from tillwise.plans import jobs
 from tillwise.schema import FACT_COLUMNS
 from tillwise.sinks import catalog
+from tillwise.sinks.merge import replace_days
 from tillwise.sinks.scratch import fresh_path, materialize
 from tillwise.sinks.tables import (
     output_manifest as manifest_of,
@@ -28,7 +41,7 @@ from tillwise.sinks.tables import (
     write_output,
     write_parquet,
 )
-from tillwise.sources import literals, readers, views
+from tillwise.sources import footers, literals, readers, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -511,6 +524,211 @@ def partitioned_transactions(spark, d):
     return kept.drop("transaction_ts")
 
 
+# --- days run again ---------------------------------------------------------
+# Each query stores all transactions with some days damaged (amounts doubled, every other row
+# missing, some rows too many), then replaces these days by the true ones and answers from what is
+# stored. The result must be that of a run over the true transactions.
+
+RERUN_DAYS = ("1998-06-10", "1998-06-30")
+RERUN_EVENT_DAYS = ("2024-01-10", "2024-01-12")
+
+
+def _rerun(spark: SparkSession, fact: DataFrame, days: tuple[str, str], tables: tuple[str, ...], grains=()) -> str:
+    """Store `fact` (all statuses) as above; returns the output folder."""
+    output = fresh_path(spark, "rerun")
+    again = F.col("txn_date").between(*days)
+    fact = materialize(fact, "rerun-input")
+    doubled = fact.where(again & (F.xxhash64("transaction_id") % 2 == 0)).withColumn("amount", F.col("amount") * 2)
+    extra = fact.where(again & (F.xxhash64("transaction_id") % 5 == 0)).withColumn("transaction_id", F.concat(F.lit("+"), "transaction_id"))
+    damaged = fact.where(~again).unionByName(doubled).unionByName(extra)
+    batch = fact.where(again)
+    replaced = [r["txn_date"] for r in batch.select("txn_date").distinct().collect()]
+    of_fact = "partitioned_transactions" in tables
+    state = [name for name in tables if name != "partitioned_transactions"]
+    if of_fact:
+        write_output(approved(damaged), output, "partitioned_transactions")
+        replace_days(approved(batch), output, "partitioned_transactions", replaced)
+    if state:
+        jobs.write_state(spark, damaged, approved(damaged), output, None, state, grains)
+        jobs.write_state(spark, batch, approved(batch), output, replaced, state, grains)
+    return output
+
+
+@query
+def etl_day_rerun(spark, d):
+    """The stored fact after some days of it were run again."""
+    output = _rerun(spark, full_fact(spark, d, approved=False), RERUN_DAYS, ("partitioned_transactions",))
+    kept = read_output(spark, f"{output}/partitioned_transactions", "partitioned_transactions")
+    return kept.drop("transaction_ts")
+
+
+@query
+def rerun_daily_approval_rate(spark, d):
+    columns = "transaction_id transaction_ts category card_type amount approval_status"
+    fact = txn(spark, d, columns, approved=False)
+    output = _rerun(spark, fact, RERUN_DAYS, ("daily_status_counts",))
+    return declared.daily_rate_of_counts(jobs.read_state(spark, output, "daily_status_counts"))
+
+
+@query
+def rerun_hourly_ratios(spark, d):
+    output = _rerun(spark, evt(spark, d, approved=False), RERUN_EVENT_DAYS, ("daily_status_counts",))
+    return declared.hourly_ratios_of_counts(jobs.read_state(spark, output, "daily_status_counts"))
+
+
+def _state(spark: SparkSession, d: str, columns: str, *grains: str, tables: tuple[str, ...] = ("daily_totals", "daily_members")):
+    """The partial results of approved transactions at some grains after days were run again."""
+    fact = txn(spark, d, f"transaction_id transaction_ts approval_status amount {columns}", approved=False)
+    output = _rerun(spark, fact, RERUN_DAYS, tables, grains)
+    return [jobs.read_state(spark, output, name) for name in tables]
+
+
+@query
+def rerun_daily_category(spark, d):
+    return daily_state.daily_category_summary(*_state(spark, d, "card_no category", "category"))
+
+
+@query
+def rerun_hourly_pattern(spark, d):
+    tables = ("daily_totals", "daily_members")
+    output = _rerun(spark, evt(spark, d, approved=False), RERUN_EVENT_DAYS, tables, ("hour",))
+    return daily_state.hourly_pattern(*[jobs.read_state(spark, output, name) for name in tables])
+
+
+@query
+def rerun_regional_analysis(spark, d):
+    return daily_state.regional_analysis(*_state(spark, d, "card_no region category", "region"))
+
+
+@query
+def rerun_monthly_trend(spark, d):
+    return daily_state.monthly_trend(*_state(spark, d, "card_no merchant", "day"))
+
+
+@query
+def rerun_monthly_mom_growth(spark, d):
+    return daily_state.monthly_mom_growth(*_state(spark, d, "card_no merchant", "day"))
+
+
+@query
+def rerun_merchant_ranking(spark, d):
+    tables = ("daily_totals", "daily_merchant_cards")
+    found = _state(spark, d, "card_no merchant category sub_category", "merchant", tables=tables)
+    return daily_state.merchant_ranking(*found)
+
+
+@query
+def rerun_etl_report(spark, d):
+    return daily_state.etl_report(*_state(spark, d, "card_no merchant", "day"))
+
+
+@query
+def rerun_quarterly_category(spark, d):
+    found = _state(spark, d, "card_no category", "category")
+    return daily_state.quarterly_category_summary(*found, YEAR)
+
+
+@query
+def rerun_quarterly_region(spark, d):
+    (totals,) = _state(spark, d, "region category", "region", tables=("daily_totals",))
+    return daily_state.quarterly_region(totals, YEAR)
+
+
+@query
+def rerun_qoq_growth(spark, d):
+    return daily_state.qoq_growth(*_state(spark, d, "card_no", "day"), YEAR)
+
+
+@query
+def dq_history(spark, d):
+    """A batch (the transactions of one year) against all that was stored before it. Every seventh order
+    of the batch is stored too, and a payment of every eleventh under another id."""
+    columns = "transaction_id transaction_ts card_no merchant amount"
+    fact = txn(spark, d, columns, approved=False).withColumn("transaction_date", F.col("transaction_ts").cast("string"))
+    number = F.substring("transaction_id", 4, 9).cast("bigint")  # of the order
+    batch = fact.where(F.col("txn_year") == YEAR)
+    before = fact.where(F.col("txn_year") < YEAR)
+    # under another day, as ids come back
+    same_id = batch.where(number % 7 == 0).withColumns({"txn_year": F.lit(YEAR - 3), "txn_month": F.lit(1), "transaction_date": F.lit("")})
+    same_payment = batch.where(number % 11 == 0).withColumn("transaction_id", F.concat(F.lit("OLD"), "transaction_id"))
+    path = fresh_path(spark, "history")
+    kept = ("transaction_id", *quality.DOUBLE_PAYMENT_KEYS, "txn_date", "txn_year", "txn_month")
+    stored = reduce(DataFrame.unionByName, (p.select(*kept) for p in (before, same_id, same_payment)))
+    write_parquet(stored, path, ("txn_year", "txn_month"))
+    stored = readers.read_parquet(spark, path, stored.schema)
+    with quality.with_key_filter(spark):
+        checks = quality.history_checks(batch, stored, AS_OF, (f"{YEAR}-01-01", f"{YEAR}-12-31"))
+        return materialize(checks.drop("checked_at"), "history-checks")
+
+
+CARD = "****-****-****-1037"
+
+
+@query
+def lookup_card_clustered(spark, d):
+    """All transactions of one card from files clustered by card."""
+    path = fresh_path(spark, "by-card")
+    fact = txn(spark, d, "transaction_id card_no category amount", approved=False)
+    clustered.write_clustered(fact, path, "card_no", ("transaction_id",))
+    return clustered.lookup_value(readers.read_parquet(spark, path, fact.schema), "card_no", CARD)
+
+
+@query
+def bucketed_merchant_join(spark, d):
+    """Transactions joined with the merchant master in buckets, with no shuffle under the join."""
+    root = fresh_path(spark, "buckets")
+    fact = txn(spark, d, "merchant category amount", approved=False)
+    master = views.merchant_master(spark, d).withColumn("good", F.lit(True))
+    with _database(spark, root) as database:
+        names = [f"`{database}`.facts", f"`{database}`.master"]
+        for df, name in ((fact, names[0]), (master, names[1])):
+            clustered.write_bucketed(df, name, "merchant", 16, f"{root}/{name.split('.')[-1]}")
+        joined = clustered.bucketed_join(spark, *names, "merchant")
+        found = joined.groupBy("category", F.coalesce("good", F.lit(False)).alias("in_master")).agg(
+            F.count("*").alias("txn_count"), F.sum("amount").alias("total_amount")
+        )
+        return materialize(found, "bucket-result")
+
+
+@query
+def catalog_touched_months(spark, d):
+    """A registered table to which months are added: the catalog is told which, no folder is listed."""
+    root, name = fresh_path(spark, "catalog"), "partitioned_transactions"
+    fact = materialize(full_fact(spark, d), "catalog-input")
+    new = F.col("txn_year") == YEAR
+    path = write_output(fact.where(~new), root, name)
+    with _database(spark, root) as database:
+        table = catalog.register_table(spark, database, name, path)
+        batch = fact.where(new)
+        days = [r["txn_date"] for r in batch.select("txn_date").distinct().collect()]
+        catalog.refresh_partitions(spark, table, path, replace_days(batch, root, name, days))
+        by_month = (
+            readers.read_table(spark, table)
+            .groupBy("txn_year", "txn_month", "category")
+            .agg(F.count("transaction_id").alias("txn_count"), F.sum("amount").alias("total_amount"))
+        )
+        return materialize(by_month, "catalog-result")
+
+
+@query
+def footer_profile(spark, d):
+    """Rows, nulls, minimum and maximum of stored columns, from the files' footers alone."""
+    path = fresh_path(spark, "footers")
+    fact = txn(spark, d, "transaction_id merchant amount", approved=False)
+    clustered.write_clustered(fact, path, "amount")
+    whole = F.col("column") == "amount"
+    low, high = (F.when(whole, F.col(c)).cast("bigint") for c in ("minimum", "maximum"))
+    stored = footers.row_groups(spark, path).withColumns({"low": low, "high": high})
+    return stored.groupBy(F.col("column").alias("column_name")).agg(
+        F.sum("rows").alias("row_count"),
+        F.sum("nulls").alias("null_count"),
+        F.min("minimum").alias("min_text"),
+        F.max("maximum").alias("max_text"),
+        F.min("low").alias("min_amount"),
+        F.max("high").alias("max_amount"),
+    ).withColumns({c: F.when(F.col("column_name") != "amount", F.col(c)) for c in ("min_text", "max_text")})
+
+
 @query
 def output_manifest(spark, d):
     """Files of each written table, and whether their bytes are those the table's own scan

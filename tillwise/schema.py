@@ -69,6 +69,16 @@ COLUMN_COMMENTS = {
     "top_category": "Category with the most transactions",
     "mom_growth_rate": "Growth over the month before in percent",
     "qoq_growth_rate": "Growth over the quarter before in percent",
+    "grain": "What the row is summed by besides the day",
+    "row_count": "Rows, those without an id included",
+    "amount_count": "Rows with an amount",
+    "no_card": "Rows without a card number",
+    "no_merchant": "Rows without a merchant",
+    "credit_count": "Credit-card transactions",
+    "member": "What is counted without repetition: card or merchant",
+    "bucket": "Bitmap number, 32,768 members each",
+    "bits": "Members of the bucket that occur",
+    "number": "Number of a member, from 1",
 }
 
 
@@ -205,3 +215,49 @@ TABLES: dict[str, TableSpec] = {
         comment="One row per quality check",
     ),
 }
+
+_MONTH = ("txn_year", "txn_month")
+
+# What incremental runs keep beside the outputs: partial results by day, from which all
+# summaries can be made again.
+STATE: dict[str, TableSpec] = {
+    "daily_status_counts": TableSpec(
+        "txn_date string, txn_hour int, category string, txn_count bigint, approved_count bigint, "
+        "cancelled_count bigint, credit_count bigint, txn_year int, txn_month int",
+        _MONTH,
+        "Counts by day, hour and category, all statuses",
+        few_rows_per_partition=False,
+    ),
+    "daily_totals": TableSpec(
+        "txn_date string, grain string, category string, txn_hour int, region string, "
+        "merchant string, sub_category string, txn_count bigint, row_count bigint, "
+        "total_amount bigint, amount_count bigint, max_amount bigint, min_amount bigint, "
+        "no_card bigint, no_merchant bigint, txn_year int, txn_month int",
+        _MONTH,
+        "Approved volume by day, summed at several grains",
+        few_rows_per_partition=False,
+    ),
+    "daily_members": TableSpec(
+        "txn_date string, grain string, category string, txn_hour int, region string, "
+        "member string, bucket bigint, bits binary, txn_year int, txn_month int",
+        _MONTH,
+        "Cards and merchants of approved transactions by day, as bitmaps",
+        few_rows_per_partition=False,
+    ),
+    "daily_merchant_cards": TableSpec(
+        "txn_date string, merchant string, category string, sub_category string, card bigint, "
+        "txn_year int, txn_month int",
+        _MONTH,
+        "Distinct cards of approved transactions by day and merchant",
+        few_rows_per_partition=False,
+    ),
+    "member_numbers": TableSpec(
+        "value string, number bigint, member string", ("member",), "Numbers of cards and merchants",
+        few_rows_per_partition=False,
+    ),
+}
+
+
+def spec_of(name: str) -> TableSpec:
+    """An output table or a table of the incremental state."""
+    return TABLES[name] if name in TABLES else STATE[name]

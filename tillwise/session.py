@@ -6,7 +6,9 @@ import os
 from collections.abc import Iterable
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from tillwise.functions.sizing import UNKNOWN, scanned_bytes
 
 BASE_CONF = {
     # implicit timestamp casts must not move a transaction to another day
@@ -41,6 +43,30 @@ def most_cores(conf: SparkConf, now: int) -> int:
     return max(now, executors * int(conf.get("spark.executor.cores", "1")))
 
 
+#: Bytes of a shuffle partition that wide tables start with; adaptive execution merges smaller ones.
+SHUFFLE_BYTES = 128 << 20
+_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_OURS = "tillwise.shuffleWidth"
+
+
+def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
+    """Start shuffles wide enough for these inputs: SHUFFLE_BYTES in a partition if all that their scans
+    read were shuffled, and never fewer than `get_session` chose by the cores.
+
+    Cores say little where executors come and go (dynamic allocation without an upper
+    bound begins with one or two), the bytes to read are known from the scans without a job.
+    A width set at submit or by the user stays. Returns the width.
+    """
+    width = int(spark.conf.get(_WIDTH, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.conf.get(_OURS, None) == str(width):
+        known = [n for n in map(scanned_bytes, inputs) if n < UNKNOWN]
+        wanted = max(width, -(-sum(known) // SHUFFLE_BYTES))
+        spark.conf.set(_WIDTH, str(wanted))
+        spark.conf.set(_OURS, str(wanted))
+        return wanted
+    return width
+
+
 def is_object_store(path: str) -> bool:
     return path.startswith(("s3://", "s3a://", "s3n://"))
 
@@ -95,5 +121,7 @@ def get_session(
     for key, value in {**BASE_CONF, **conf_for_cores(cores)}.items():
         if key not in set_already:
             spark.conf.set(key, value)
+            if key == _WIDTH:
+                spark.conf.set(_OURS, value)
     context.setLogLevel("WARN")
     return spark

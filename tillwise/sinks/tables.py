@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.functions.sizing import spread
-from tillwise.schema import TABLES
+from tillwise.schema import spec_of
 from tillwise.sources.literals import benchmark_rows
 
 
@@ -51,22 +51,26 @@ def write_output(
     year: int | None = None,
     only_touched_partitions: bool = False,
 ) -> str:
-    """Write one of `schema.TABLES`, in its declared types, to {root}/[{year}/]{name}.
+    """Write one of `schema.TABLES` or `schema.STATE`, in its declared types, to {root}/[{year}/]{name}.
 
     Returns the path.
     """
     path = f"{root}/{name}" if year is None else f"{root}/{year}/{name}"
-    spec = TABLES[name]
-    typed = df.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema.fields])
+    spec = spec_of(name)
     write_parquet(
-        typed, path, spec.partition_by, spec.few_rows_per_partition, only_touched_partitions
+        typed(df, name), path, spec.partition_by, spec.few_rows_per_partition, only_touched_partitions
     )
     return path
 
 
+def typed(df: DataFrame, name: str) -> DataFrame:
+    """The declared columns of a table in their declared types."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in spec_of(name).schema.fields])
+
+
 def read_output(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Read a table of `schema.TABLES` back in its declared types."""
-    return spark.read.schema(TABLES[name].schema).parquet(path)
+    """Read a table of `schema.TABLES` or `schema.STATE` back in its declared types."""
+    return spark.read.schema(spec_of(name).schema).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
