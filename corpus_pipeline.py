@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and is
 written as Parquet and read again, so a lost executor repeats one stage at most.
 All but the last return the columns of `documents`.
+
+Defined cases: a null or empty text is rejected by the first stage (too few words), and a
+stage that gets one treats it as empty; of repeated rows one stays after the second stage; ties (which
+document of a group stays, where the mix ends) go by id, then by a hash of the text; null ids
+are ids like any other; extra columns are carried along whatever their names; an empty table
+gives an empty result at every stage.
 """
 
 from __future__ import annotations
