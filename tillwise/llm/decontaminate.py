@@ -37,9 +37,16 @@ from pyspark.sql import functions as F
 from tillwise.llm import words
 from tillwise.llm.shared import checkpointed, free_name, with_hint
 
-# The seeds, as offsets of the words that count.
-SEEDS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 3, 5, 6), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 7, 8))
-SPAN = 9
+# The seeds, as offsets of the words that count. Together they hit every stretch of
+# words that is an overlap by the rule below (four in five equal, MIN_EQUAL or more), wherever the
+# substituted words are.
+SEEDS = (
+    (0, 1, 2, 3, 4, 5),
+    (0, 1, 2, 3, 5, 6),
+    (0, 1, 3, 4, 6, 7),
+    (0, 2, 3, 5, 7, 8),
+    (0, 1, 3, 7, 8, 9),
+)
 
 MIN_ITEM = 6
 MIN_EQUAL = 10
