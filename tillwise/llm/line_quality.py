@@ -4,7 +4,7 @@ decides whether a document is kept.
 
 A line is described by a few yes/no features. The field is trained by maximum a
 posteriori estimation on a bounded sample of labelled documents (MAX_DOCS expected,
-chosen by a hash of the id): the lines of a document with quality 1 count as content,
+chosen by a hash of the id) and of their sequences of lines (MAX_SEQUENCES expected): the lines of a document with quality 1 count as content,
 those of one with quality 0 as boilerplate. The prior is centred on weights that
 say what each feature is meant for, so without labels the field still works. Viterbi
 decoding then labels all lines of all texts.
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.llm import words
-from tillwise.llm.shared import id_text
+from tillwise.llm.shared import checkpointed, id_text
 
 # The base rules.
 MIN_WORDS = 10
@@ -41,6 +41,8 @@ SYMBOLS = b"#*$%&|<>"
 MAX_DOCS = 2000
 #: Lines of a training sequence; longer documents are cut into several.
 SEQUENCE = 64
+#: Expected number of training sequences, all that the driver takes: 64 * 8 bytes each.
+MAX_SEQUENCES = 20_000
 EPOCHS = 60
 LEARNING_RATE = 0.1
 #: Pull of the weights towards their prior, in examples.
@@ -199,8 +201,10 @@ def train(sequences: list[tuple[np.ndarray, int]]) -> Field:
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """Train on about MAX_DOCS labelled documents; all of them if there are fewer."""
-    labelled = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("labelled_id"), "quality"
+    labelled = (
+        labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
+        .groupBy(F.col("doc_id").alias("labelled_id"))
+        .agg(F.max("quality").alias("quality"))
     )
     n = labelled.count()
     if n == 0:
@@ -208,21 +212,25 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     share = min(1.0, MAX_DOCS / n)
     sample = labelled.where(F.pmod(F.xxhash64(id_text(F.col("labelled_id"))), F.lit(1 << 20)) < int(share * (1 << 20)))
 
-    @F.pandas_udf("array<long>")
-    def bits_of(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: line_features(text or "")[0])
+    @F.pandas_udf("array<array<long>>")
+    def sequences_of(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: [b.tolist() for b in _cut(line_features(text or "")[0])])
 
     # the sample is broadcast: MAX_DOCS rows are expected, however many labels there are
-    lines = (
+    parts = checkpointed(
         docs.select(F.col(id_col).alias("labelled_id"), F.col(text_col).alias("text"))
         .join(F.broadcast(sample), "labelled_id")
-        .select("quality", bits_of("text").alias("bits"))
+        .select("labelled_id", "quality", F.posexplode(sequences_of("text")).alias("place", "bits"))
     )
-    sequences = []
-    for row in lines.toLocalIterator():
-        bits = np.array(row["bits"], dtype=np.int64)
-        sequences += [(bits[i : i + SEQUENCE], int(row["quality"] > 0)) for i in range(0, len(bits), SEQUENCE)]
-    return train(sequences)
+    share = min(1.0, MAX_SEQUENCES / max(1, parts.count()))
+    dice = F.pmod(F.xxhash64(id_text(F.col("labelled_id")), "place", "bits"), F.lit(1 << 20))
+    chosen = parts.where(dice < int(share * (1 << 20))).select("labelled_id", "place", "bits", "quality").collect()
+    chosen.sort(key=lambda r: (str(r["labelled_id"]), r["place"], r["bits"]))  # sums of doubles depend on the order
+    return train([(np.array(r["bits"], dtype=np.int64), int(r["quality"] > 0)) for r in chosen])
+
+
+def _cut(bits: np.ndarray) -> list[np.ndarray]:
+    return [bits[i : i + SEQUENCE] for i in range(0, len(bits), SEQUENCE)]
 
 
 def judge(text: str | None, field: Field) -> tuple:
