@@ -16,8 +16,9 @@ sorted. A hot source is thus spread over all tasks.
 
 Defined cases: a null or wordless text has size 0, is never sampled and takes 0
 words; sources sort by code point, null last, and null is a source like any
-other; rows with equal ids have equal random numbers, so repeated rows are in or
-out together; a null id counts as the empty string; an empty table gives an empty result.
+other; a null id counts as the empty string; rows that repeat id and text have equal random
+numbers and are in or out together, others of equal id are not; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -33,9 +34,10 @@ from tillwise.llm.shared import checkpointed, free_name, id_text, with_hint, wor
 SLICES = 4096
 
 
-def uniform(doc_id: Column, seed: str) -> Column:
-    """A number in (0, 1) from the first 52 bits of the md5 of seed and id."""
-    bits = F.conv(F.substring(F.md5(F.encode(F.concat(F.lit(seed), id_text(doc_id)), "UTF-8")), 1, 13), 16, 10)
+def uniform(doc_id: Column, text: Column, seed: str) -> Column:
+    """A number in (0, 1) from the first 52 bits of the md5 of seed, id and text."""
+    drawn = F.concat(F.lit(seed), id_text(doc_id), F.lit("/"), F.coalesce(text, F.lit("")))
+    bits = F.conv(F.substring(F.md5(F.encode(drawn, "UTF-8")), 1, 13), 16, 10)
     return (bits.cast("long").cast("double") + 0.5) / float(1 << 52)
 
 
@@ -123,7 +125,7 @@ def _sized(docs: DataFrame, carried: list[Column], id_col: str, text_col: str, s
         *carried,
         F.col(source_col).alias("source"),
         word_count(F.col(text_col)).alias("size"),
-        uniform(F.col(id_col), seed).alias("u"),
+        uniform(F.col(id_col), F.col(text_col), seed).alias("u"),
     ).withColumn("weight", F.length(F.bin("size")))
 
 
@@ -253,7 +255,7 @@ def _borders(ranked: DataFrame) -> DataFrame:
 ORACLE = f"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    (CAST('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0 AS u
+    (CAST('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/' || coalesce(text, '')), 1, 13) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0 AS u
   FROM documents
 ), classed AS (SELECT *, length(bin(size)) AS weight FROM sized
 ), s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
