@@ -41,6 +41,11 @@ ROWS = [
 def odd(spark):
     """The rows with extra columns that have names used inside the operators."""
     docs = spark.createDataFrame(ROWS, SCHEMA)
+    for name in (
+        "__doc", "__kinds", "__secrets", "__key", "__id", "key_of_copy", "doc_of_secrets", "spans_of_secrets", "first", "root",
+        "subkeys", "keys", "n", "part", "mask", "label", "v", "frame",
+    ):
+        docs = docs.withColumn(name, F.lit(name))
     for name in ("size", "copies", "doc", "fp", "key", "kept", "spans", "goes", "u", "row", "words", "found", "item_id"):
         docs = docs.withColumn(name, F.lit(name))
     return docs

@@ -30,7 +30,7 @@ from re import _parser as regex_parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.shared import checkpointed, with_hint
+from tillwise.llm.shared import checkpointed, free_name, with_hint
 
 
 @dataclass(frozen=True)
@@ -232,21 +232,22 @@ def with_secrets(
     """`docs` with a column `out`: the spans (start, order, kind, end) of all rules, in
     order of start and rule. Positions are code points, end exclusive."""
     indexed = [r for r in rules if frozenset() not in trigram_query(r.regex)]
+    doc, kinds = (free_name(docs, name) for name in ("doc_of_secrets", "kinds_of_secrets"))
     found = with_hint(
         checkpointed(candidates(docs, rules, id_col=id_col, text_col=text_col)).select(
-            F.col("doc").alias("__doc"), F.col("kinds").alias("__kinds")
+            F.col("doc").alias(doc), F.col("kinds").alias(kinds)
         )
     )
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>")
     per_rule = []
     for order, rule in enumerate(rules):
-        to_verify = F.array_contains("__kinds", rule.kind) if rule in indexed else F.rlike(text, F.lit(rule.regex))
+        to_verify = F.array_contains(kinds, rule.kind) if rule in indexed else F.rlike(text, F.lit(rule.regex))
         per_rule.append(F.when(to_verify, _spans(text, rule, order)).otherwise(none))
     return (
-        docs.join(found, _key(id_col, text_col) == F.col("__doc"), "left")
+        docs.join(found, _key(id_col, text_col) == F.col(doc), "left")
         .withColumn(out, F.sort_array(F.concat(*per_rule)))
-        .drop("__doc", "__kinds")
+        .drop(doc, kinds)
     )
 
 
@@ -273,7 +274,7 @@ def scan(docs: DataFrame, rules=RULES, *, id_col: str = "doc_id", text_col: str
 
 def redact(docs: DataFrame, rules=RULES, *, text_col: str = "text", mask: str = "[SECRET]", **options) -> DataFrame:
     """`docs` with every span of its text replaced; overlapping spans are one. A null text stays null."""
-    spans = "__secrets"
+    spans = free_name(docs, "spans_of_secrets")
     text = F.col(text_col)
 
     def add(done: Column, s: Column) -> Column:
