@@ -222,33 +222,49 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     )
 
 
+def candidate_links(printed: DataFrame) -> DataFrame:
+    """Links (a, b) between texts whose fingerprints are within reach: the first text of each of the tree's links'
+    fingerprints, and of each fingerprint its first text with the others. `printed` has doc and fp."""
+    firsts = checkpointed(printed.groupBy("fp").agg(F.min("doc").alias("first"), F.max("doc").alias("last")))
+    found = checkpointed(links(checkpointed(firsts.select("fp"))))
+    ends = {n: firsts.select(F.col("fp").alias(n), F.col("first").alias(f"first_{n}")) for n in "ab"}
+    apart = found.join(ends["a"], "a").join(ends["b"], "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
+    shared = with_hint(checkpointed(firsts.where("first <> last").select("fp", "first")))
+    same = printed.join(shared, "fp").where("doc <> first").select(F.col("doc").alias("a"), F.col("first").alias("b"))
+    return checkpointed(apart.unionAll(same))
+
+
 def without_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with one document of each group of near copies (near_copies: Jaccard similarity
-    0.8 on 5-word shingles): the one with the smallest id (null last), then the smallest hash. Of rows that repeat id and text, one stays.
+    """`docs` with one document of each group of near copies: the one with the smallest id (null
+    last), then the smallest hash. Of rows that repeat id and text, one stays.
 
-    Texts are shuffled only if more rows are to go than a broadcast may hold.
+    Candidates are the links of the vantage-point tree and, for copies that differ in more
+    bits than it reaches, those of near_copies; all are verified by a Jaccard similarity of 0.8 on
+    5-word shingles. Texts are shuffled only if more rows are to go than a broadcast may hold.
     """
     key = F.xxhash64(F.col(id_col), F.col(text_col))
-    same = F.xxhash64(F.col(text_col))
-    keyed = checkpointed(docs.select(F.col(id_col).alias("id"), key.alias("key"), same.alias("doc")))
+    same = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    texts = docs.select(same.alias("doc"), F.col(text_col).alias("text"))
+    keyed = checkpointed(
+        docs.select(F.col(id_col).alias("id"), key.alias("key"), same.alias("doc"), fingerprint_of(F.col(text_col)).alias("fp"))
+    )
+    linked = candidate_links(keyed.select("doc", "fp").distinct())
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "key")
     # tables of their own, so that joins with a hot text or a large group can be broadcast or split
-    groups = with_hint(checkpointed(near_copies.groups(docs.select(same.alias("doc"), F.col(text_col).alias("text")))))
+    groups = with_hint(checkpointed(near_copies.groups(texts, linked)))
     rows = keyed.groupBy("id", "key", "doc").agg(F.count(F.lit(1)).alias("rows"))
     rooted = checkpointed(rows.join(groups, "doc"))
     first = with_hint(checkpointed(rooted.groupBy("root").agg(F.min(rank).alias("first"))))
+    key_name, id_name, goes, doc = (free_name(docs, name) for name in ("key_of_copy", "id_of_copy", "goes", "key_of_row"))
     fate = checkpointed(
         rooted.join(first, "root")
         .withColumn("goes", (F.col("key") != F.col("first.key")) | ~F.col("id").eqNullSafe(F.col("first.id")))
         .where(F.col("goes") | (F.col("rows") > 1))
-        .select(F.col("key").alias("__key"), F.col("id").alias("__id"), "goes")
+        .select(F.col("key").alias(key_name), F.col("id").alias(id_name), F.col("goes").alias(goes))
     )
-    goes = free_name(docs, "goes")
-    marked = docs.withColumn("__doc", key).join(
-        with_hint(fate.withColumnRenamed("goes", goes)),
-        (F.col("__doc") == F.col("__key")) & F.col(id_col).eqNullSafe(F.col("__id")),
-        "left",
+    marked = docs.withColumn(doc, key).join(
+        with_hint(fate), (F.col(doc) == F.col(key_name)) & F.col(id_col).eqNullSafe(F.col(id_name)), "left"
     )
     once = marked.where(F.col(goes).isNull())
-    repeated = marked.where(~F.col(goes)).dropDuplicates(["__doc"])
+    repeated = marked.where(~F.col(goes)).dropDuplicates([doc])
     return once.unionByName(repeated).select(*docs.columns)
