@@ -151,7 +151,7 @@ def test_dictionary_is_checked_and_helps(spark):
     with pytest.raises(ValueError, match="another dictionary"):
         token_files.Reader(folder, file, dictionary + b"x")
     ids = [_ids(r["text"]) for r in spark.read.parquet(f"{DATA}/sf0.01/documents.parquet").limit(400).collect()]
-    short = [token_files.serialised(x, 2) for x in ids if len(x) < 300]
+    short = [np.array(x, dtype="<u2").tobytes() for x in ids if len(x) < 300]
     shared, alone = (sum(len(token_files.compressor(d).compress(x)) for x in short) for d in (dictionary, b""))
     assert shared < 0.9 * alone
 
@@ -169,6 +169,22 @@ def test_token_ids_equal_the_tokenizers(spark):
     assert not found
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="aZs'\u00c9\u0130\u017f\u0131\u0301\u00e9\u03a3\x1c\u00a0\u2003 \t\n\x0b\x0c\r12.,<|>\u65e5\U0001f600", max_size=40))
+def test_word_by_word_is_the_whole_text(text):
+    encoder = token_files.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert encoder.by_word and encoder.letters and encoder.folds and encoder.splits
+    assert token_files.restored(encoder.text(text), encoder.width).tolist() == _ids(text)
+
+
+def test_other_tokenizers_encode_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, plain = token_files.Encoder(path), tokenizers.Tokenizer.from_file(path)
+    assert not encoder.by_word
+    text = "two words,\n and\tmore "
+    assert token_files.restored(encoder.text(text), encoder.width).tolist() == [*plain.encode(text, add_special_tokens=False).ids, 2]
+
+
 def test_no_documents_no_files(spark):
     docs = spark.createDataFrame([], TEXTS)
     assert token_files.write_and_read(docs).collect() == []
@@ -180,7 +196,7 @@ def test_a_stretch_may_be_one_frame(monkeypatch, spark):
     token_files.opened(folder)[0].create_dir(token_files.opened(folder)[1], recursive=True)
     writer = token_files.Writer(folder, b"", 4)
     for k in range(5):
-        writer.add(str(k), k + 1, token_files.compressor(b"").compress(token_files.serialised(range(k + 1), 4)))
+        writer.add(str(k), k + 1, token_files.compressor(b"").compress(np.arange(k + 1, dtype="<u4").tobytes()))
     reader = token_files.Reader(folder, writer.close()[0], b"")
     assert [(a, [x.tolist() for x in found]) for a, found in reader.stretches()] == [(k, [list(range(k + 1))]) for k in range(5)]
 

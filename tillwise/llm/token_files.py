@@ -36,6 +36,8 @@ need be); an empty table gives no file and an empty result.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -53,6 +55,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.functions.sizing import spread
+from tillwise.llm import words
 from tillwise.sinks.scratch import fresh_path, materialize
 
 MAGIC = b"TLWIDS01"
@@ -68,28 +71,126 @@ FILE_BYTES = 128 << 20
 LEAST_BYTES = 1 << 20
 #: Bytes of frames that are read at once.
 READ_BYTES = 4 << 20
-#: Texts that are encoded at once.
+#: Documents that are put together for Spark.
 TEXTS = 64
+#: Encoded words that a worker remembers (about 150 bytes each) before it begins anew.
+KNOWN_WORDS = 800_000
+#: Punctuation that may stand at the end of a word.
+TAIL = b".,;:!?"
+#: Words of Latin letters that are one code point and stay one in lower case.
+PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+
+
+def _byte_letters() -> list[str]:
+    """How byte-level vocabularies write a byte: itself if it is a visible sign, else the next letter from 256."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in visible else chr(next(others)) for b in range(256)]
+
+
+BYTE_LETTERS = _byte_letters()
 
 HEADER = 17
 FOOTER = 24
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> tokenizers.Tokenizer:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
-    found = tokenizers.Tokenizer.from_file(path)
-    found.no_truncation()
-    found.no_padding()
-    return found
+class Encoder:
+    """Texts to serialised ids, the end id included.
 
+    Where the tokenizer drops white space and takes what lies between by itself, a text is encoded
+    piece by piece, and a word that was encoded before is looked up: invented or natural,
+    most words of a text are old ones. A new word of Latin letters alone is given to the tokenizer's
+    model at once, in the letters that stand for bytes there, if that was found to give the same
+    for every such letter. Other tokenizers encode every text as a whole.
+    """
 
-def id_bytes(vocabulary: int) -> int:
-    return 2 if vocabulary <= 1 << 16 else 4
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
+        self.tokenizer = tokenizers.Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.letter = {2: "H", 4: "I"}[self.width]
+        self.end = self.serialised([END_ID])
+        self.by_word = self._words_stand_alone()
+        self.model = self.tokenizer.model
+        self.letters = self.by_word and self._letters_are_bytes()
+        self.folds, self.splits = self.by_word and self._case_is_ignored(), self.by_word and self._tails_stand_alone()
+        self.known: dict[bytes, bytes] = {}
+
+    def serialised(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.letter}", *ids)
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words_stand_alone(self) -> bool:
+        """Tried with words of many kinds on both sides of every white space that separates words."""
+        kinds = ("Word", "w", "'s", "s", "12", "1", "...", "#a", "caf\u00e9", "\u0301", "\u03a3", "\u65e5\u672c", "\U0001f600", "<|", "|>")
+        alone = dict(zip(kinds, self.ids(list(kinds))))
+        texts = [(a, b, f"{gap}{a}{gap}{gap}{b}{gap}") for gap in " \t\n\v\f\r" for a in kinds for b in kinds]
+        return all(found == alone[a] + alone[b] for (a, b, _), found in zip(texts, self.ids([t for *_, t in texts])))
+
+    def _by_model(self, word: str) -> list[int]:
+        word = word.lower()
+        word = word if word.isascii() else "".join(map(BYTE_LETTERS.__getitem__, word.encode()))
+        return [token.id for token in self.model.tokenize(word)]
+
+    def _letters_are_bytes(self) -> bool:
+        """Whether words of plain letters are one piece to the tokenizer, which its model takes byte by byte."""
+        letters = [c for c in map(chr, range(0x180)) if PLAIN.fullmatch(c)]
+        tried = [w for c in letters for w in (c, f"a{c}", f"{c}a", f"{c}{c}st")]
+        return self.ids(tried) == [self._by_model(w) for w in tried]
+
+    def _case_is_ignored(self) -> bool:
+        letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        return self.ids([letters, *letters]) == self.ids([letters.lower(), *letters.lower()])
+
+    def _tails_stand_alone(self) -> bool:
+        """Whether punctuation after an ASCII letter is a word of its own, at least at the end."""
+        stems, tails = ("Word", "w", "'s", "n't", "1a", "#a", "\u00e9a"), (*TAIL.decode(), "...", "?!", ".,;")
+        alone = {x: ids for x, ids in zip((*stems, *tails), self.ids([*stems, *tails]))}
+        texts = [(a, b, a + b) for a in stems for b in tails]
+        return all(found == alone[a] + alone[b] for (a, b, _), found in zip(texts, self.ids([t for *_, t in texts])))
+
+    def _learn(self, found: list[bytes]) -> None:
+        """Encode the words that are not known. A word is looked up in lower case, and apart from
+        the punctuation at its end."""
+        if len(self.known) > KNOWN_WORDS:
+            self.known = {}
+        known, waiting, texts = self.known, [], {}
+        for word in set(found).difference(known):
+            low = word.lower() if self.folds else word
+            stem = low.rstrip(TAIL) if self.splits else low
+            parts = (stem, low[len(stem) :]) if stem != low and stem[-1:].isalpha() else (low,)
+            for part in parts:
+                if part not in known:
+                    text = part.decode("utf-8", "surrogatepass")
+                    if self.letters and (part.isalpha() or PLAIN.fullmatch(text)):
+                        known[part] = self.serialised(self._by_model(text))
+                    else:
+                        texts[part] = text
+            if word != parts[0]:
+                waiting.append((word, parts))
+        for part, ids in zip(texts, self.ids(list(texts.values()))):
+            known[part] = self.serialised(ids)
+        for word, parts in waiting:
+            known[word] = b"".join(map(known.__getitem__, parts))
+
+    def text(self, text: str | None) -> bytes:
+        if not self.by_word:
+            return self.serialised(self.ids([text or ""])[0]) + self.end
+        parts = []
+        for piece in words.pieces((text or "").encode("utf-8", "surrogatepass")):
+            found = piece.split()  # at the six bytes that separate words
+            self._learn(found)
+            parts.append(b"".join(map(self.known.__getitem__, found)))
+        return b"".join((*parts, self.end))
 
 
-def serialised(ids: list[int] | np.ndarray, width: int) -> bytes:
-    return np.asarray(ids, dtype=f"<u{width}").tobytes()
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def restored(raw: bytes, width: int) -> np.ndarray:
@@ -218,21 +319,14 @@ class Reader:
         self.file.close()
 
 
-def _encoded(texts: list[str | None], tokenizer: tokenizers.Tokenizer) -> Iterator[list[int]]:
-    for at in range(0, len(texts), TEXTS):
-        some = [t or "" for t in texts[at : at + TEXTS]]
-        for found in tokenizer.encode_batch_fast(some, add_special_tokens=False):
-            yield [*found.ids, END_ID]
-
-
-def _sample(docs: DataFrame, text_col: str, path: str, width: int) -> list[bytes]:
+def _sample(docs: DataFrame, text_col: str, path: str) -> list[bytes]:
     """Serialised ids of about SAMPLE documents: SAMPLE * SAMPLE_IDS * 4 bytes at most."""
     n = docs.count()
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [serialised(x, width) for x in _encoded(list(batch["text"]), encoder(path)) if len(x) <= SAMPLE_IDS]
-            yield pd.DataFrame({"raw": found})
+            found = map(encoder(path).text, batch["text"])
+            yield pd.DataFrame({"raw": [x for x in found if len(x) <= SAMPLE_IDS * encoder(path).width]})
 
     chosen = docs.select(F.col(text_col).alias("text")).sample(min(1.0, SAMPLE / max(1, n)), seed=12)
     return [bytes(r["raw"]) for r in chosen.mapInPandas(encode, "raw binary").collect()]
@@ -250,8 +344,8 @@ def write(
     dictionary, which is also written there."""
     spark = docs.sparkSession
     path = tokenizer_path or public_tokenizers.path("word_bpe_49k.json")
-    width = id_bytes(encoder(path).get_vocab_size())
-    dictionary = train_dictionary(_sample(docs, text_col, path, width))
+    width = encoder(path).width
+    dictionary = train_dictionary(_sample(docs, text_col, path))
     store, inside = opened(folder)
     store.create_dir(inside, recursive=True)
     with store.open_output_stream(f"{inside}/dictionary.zdict") as out:
@@ -264,13 +358,13 @@ def write(
         for batch in batches:
             for at in range(0, len(batch), TEXTS):
                 some = batch.iloc[at : at + TEXTS]
-                found = list(_encoded(list(some["text"]), encoder(path)))
+                found = [encoder(path).text(t) for t in some["text"]]
                 yield pd.DataFrame(
                     {
                         "name": some["name"].tolist(),
                         "row": some["row"].to_numpy(),
-                        "n": [len(x) for x in found],
-                        "frame": [pack.compress(serialised(x, width)) for x in found],
+                        "n": [len(x) // width for x in found],
+                        "frame": [pack.compress(x) for x in found],
                     }
                 )
 
