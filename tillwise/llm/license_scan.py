@@ -2,21 +2,26 @@
 
 Document frequencies of all template words are counted over all documents. Every
 template is indexed under its rarest words (highest IDF) that the documents use at
-all: word -> (template, position). A document looks up every indexed word it has,
-so the words of one notice take no other's place; a posting moved by the word's place in the document gives the place where
-the template would begin. Where two different words or more agree on that place, the
-template is a candidate, and it is accepted if its key phrase stands in the text.
+all: word -> (template, position). A document looks up its words; a posting moved by
+the word's place in the document gives the place where the template would begin. A place
+on which AGREEING_WORDS different words or more agree makes the template a candidate,
+and it is accepted if its key phrase stands in the text.
 
-The index grows with the templates alone. What moves between tasks are word
-places of documents with indexed words, never texts, unless there are more
-candidates than a broadcast may hold.
+If two words must agree on a place, one of them at least is not the most frequent one of the
+template's index. So that word proposes no place, the rarer ones do, and at each proposed
+place all indexed words are intersected. Nothing is lost by that, and words like "the"
+that only short notices are indexed under are not looked up.
+
+The index grows with the templates alone and is a literal of the plan. All postings of a document are
+in its own row, so they are intersected there, and no text, word or place is moved
+between tasks.
 
 Base phrases are searched word by word in every text beside that.
 
-Defined cases: a null or wordless text has no word, no label and score 0; a text
-is known by a 64-bit hash of id and text, so null and repeated ids need no care;
-ties in frequency go to the word that sorts first, ties in agreement to the
-earliest place; an empty table gives an empty result.
+Defined cases: a null or wordless text has no word, no label and score 0; null and
+repeated ids and repeated rows are scanned row by row; ties in frequency go to the word that
+sorts first, ties in agreement to the earliest place; columns are picked by name, so others do
+not matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,16 +31,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.shared import checkpointed, with_hint
-
 #: Words: digits, lower-case letters and anything beyond ASCII.
 LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Words under which a template is indexed, and those that must agree on a place.
 INDEXED_WORDS = 6
 AGREEING_WORDS = 2
-#: Words that a document looks up in ORACLE. The scan looks up all.
-LOOKED_UP_WORDS = 4
+#: Beyond A-Z, the one sign that has an ASCII letter as its lower case, and one that has none.
+_KELVIN, _ANGSTROM = "\u212a", "\u212b"
 
 
 @dataclass(frozen=True)
@@ -112,13 +115,12 @@ TEMPLATES = (
 
 
 def _with_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, doc (a hash of id and text) and words. lower() also changes letters
-    beyond ASCII, which neither splits a word nor makes one equal to a phrase's."""
-    return docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("doc"),
-        F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("lowered"),
-    ).withColumn("words", F.regexp_extract_all("lowered", F.lit(LICENSE_WORD), F.lit(0)))
+    """doc_id, lowered and words. Other letters than A-Z that lower() changes stay beyond ASCII,
+    which neither splits a word nor makes one equal to a phrase's."""
+    text = F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit(_KELVIN), F.lit(_ANGSTROM))
+    return docs.select(F.col(id_col).alias("doc_id"), F.lower(text).alias("lowered")).withColumn(
+        "words", F.regexp_extract_all("lowered", F.lit(LICENSE_WORD), F.lit(0))
+    )
 
 
 def _texts(words) -> Column:
@@ -136,38 +138,81 @@ def document_frequencies(worded: DataFrame, templates=TEMPLATES) -> dict[str, in
     return {r["word"]: r["count"] for r in counted.collect()}
 
 
-def positional_index(frequencies: dict[str, int], templates=TEMPLATES) -> list[tuple[str, int, int, int]]:
-    """Postings (word, frequency, template, position) of each template's rarest words."""
-    postings = []
-    for number, template in enumerate(templates):
+def positional_index(frequencies: dict[str, int], templates=TEMPLATES) -> list[list[tuple[str, int]]]:
+    """Of each template the postings (word, position) of its rarest words, rarest first."""
+    index = []
+    for template in templates:
         used = {w for w in template.words if w in frequencies}
         rarest = sorted(used, key=lambda w: (frequencies[w], w))[:INDEXED_WORDS]
-        postings += [
-            (w, frequencies[w], number, place) for place, w in enumerate(template.words) if w in rarest
-        ]
+        index.append([(w, place) for w in rarest for place, other in enumerate(template.words) if other == w])
+    return index
+
+
+def proposing(index: list[list[tuple[str, int]]]) -> dict[str, list[tuple[int, int]]]:
+    """word -> postings (template, position), without each template's AGREEING_WORDS - 1 most
+    frequent indexed words."""
+    postings: dict[str, list[tuple[int, int]]] = {}
+    for number, places in enumerate(index):
+        words = list(dict.fromkeys(w for w, _ in places))
+        for word, place in places:
+            if word in words[: len(words) - AGREEING_WORDS + 1]:
+                postings.setdefault(word, []).append((number, place))
     return postings
 
 
-def candidates(worded: DataFrame, postings: list[tuple[str, int, int, int]]) -> DataFrame:
-    """One row (doc, found) per document: for each candidate template the place
-    (template, begin) on which most of its looked-up words agree."""
-    spark = worded.sparkSession
-    # as long as the templates' texts, whatever the documents
-    index = F.broadcast(spark.createDataFrame(postings, "word string, frequency long, template int, place int"))
-    indexed = _texts(sorted({word for word, _, _, _ in postings}))
+def _literal(rows: list[tuple], names: tuple[str, ...], kinds: tuple[str, ...]) -> Column:
+    """An array of structs."""
+    kind = "array<struct<" + ",".join(map(":".join, zip(names, kinds))) + ">>"
+    structs = [F.struct(*(F.lit(v).cast(k).alias(n) for v, n, k in zip(row, names, kinds))) for row in rows]
+    return F.array(*structs).cast(kind)
+
+
+def candidates(worded: DataFrame, index: list[list[tuple[str, int]]]) -> DataFrame:
+    """`worded` with found: for each candidate template (template, agree, begin), where
+    begin is the place on which most of its indexed words agree."""
+    postings = proposing(index)
+    if not postings:
+        return worded.withColumn("found", F.lit(None).cast("array<struct<template:int,agree:int,begin:int>>"))
+    by_word = F.create_map(
+        *(part for word, rows in postings.items() for part in (F.lit(word), _literal(rows, ("template", "place"), ("int", "int"))))
+    )
+    by_template = F.array(*(_literal(rows, ("word", "place"), ("string", "int")) for rows in index))
+
+    def proposed(hit: Column) -> Column:
+        return F.transform(
+            F.element_at(by_word, hit["word"]),
+            lambda p: F.struct(p["template"].alias("template"), (hit["at"] - p["place"]).alias("begin")),
+        )
+
+    def weighed(place: Column) -> Column:
+        in_place = F.filter(
+            F.get(by_template, place["template"]), lambda p: F.coalesce(F.get("words", place["begin"] + p["place"]) == p["word"], F.lit(False))
+        )
+        return F.struct(
+            place["template"].alias("template"),
+            F.size(F.array_distinct(F.transform(in_place, lambda p: p["word"]))).alias("agree"),
+            (-place["begin"]).alias("first"),
+        )
+
+    # a text without AGREEING_WORDS indexed words of one template has no candidate
+    own = [_texts(sorted({w for w, _ in rows})) for rows in index]
+    enough = F.greatest(*(F.size(F.array_intersect(words, F.col("present"))) for words in own), F.lit(0)) >= AGREEING_WORDS
+    numbered = F.transform("words", lambda w, i: F.when(F.array_contains("rare", w), F.struct(w.alias("word"), i.alias("at"))))
+    hits = F.array_compact(numbered)
+    places = F.array_distinct(F.flatten(F.transform(hits, proposed)))
+    agreeing = F.filter(F.transform(places, weighed), lambda c: c["agree"] >= AGREEING_WORDS)
+
+    def best(number: int) -> Column:
+        mine = F.array_max(F.filter("agreeing", lambda c: c["template"] == number))
+        return F.when(
+            mine.isNotNull(), F.struct(mine["template"].alias("template"), mine["agree"].alias("agree"), (-mine["first"]).alias("begin"))
+        )
+
     return (
-        worded.withColumn("rare", F.array_intersect(indexed, "words"))
-        .where(F.size("rare") >= AGREEING_WORDS)
-        .select("doc", "rare", F.posexplode("words").alias("at", "word"))
-        .where(F.array_contains("rare", F.col("word")))
-        .join(index, "word")
-        .groupBy("doc", "template", (F.col("at") - F.col("place")).alias("begin"))
-        .agg(F.count_distinct("word").alias("agree"))
-        .where(F.col("agree") >= AGREEING_WORDS)
-        .groupBy("doc", "template")
-        .agg(F.max(F.struct("agree", (-F.col("begin")).alias("first"))).alias("best"))
-        .groupBy("doc")
-        .agg(F.collect_list(F.struct("template", (-F.col("best.first")).alias("begin"))).alias("found"))
+        worded.withColumn("present", F.array_intersect(_texts(sorted({w for rows in index for w, _ in rows})), "words"))
+        .withColumn("rare", F.when(enough, F.array_intersect(_texts(sorted(postings)), "present")))
+        .withColumn("agreeing", F.when(F.size("rare") > 0, agreeing))
+        .withColumn("found", F.when(F.size("agreeing") > 0, F.array_compact(F.array(*map(best, range(len(index)))))))
     )
 
 
@@ -196,9 +241,8 @@ def _accepted(template: Template, number: int) -> Column:
         lambda expected, word: F.when(expected == word, 1).otherwise(0),
     )
     share = F.aggregate(in_place, F.lit(0), lambda total, x: total + x) / float(length)
-    joined = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
     return F.when(
-        F.exists("found", lambda f: f["template"] == number) & F.contains(joined, F.lit(f" {template.key_phrase} ")),
+        F.exists("found", lambda f: f["template"] == number) & F.contains("joined", F.lit(f" {template.key_phrase} ")),
         share,
     )
 
@@ -210,12 +254,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, *, id_col: str = "doc_id", text_c
     words that stand in their place.
     """
     worded = _with_words(docs, id_col, text_col)
-    postings = positional_index(document_frequencies(worded, templates), templates)
-    found = with_hint(
-        checkpointed(candidates(worded, postings)).select(F.col("doc").alias("doc_"), "found")
-    )
+    index = positional_index(document_frequencies(worded, templates), templates)
     placed = (
-        worded.join(found, F.col("doc") == F.col("doc_"), "left")
+        candidates(worded, index)
+        .withColumn("joined", F.when(F.col("found").isNotNull(), F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))))
         .withColumns({f"base_{k}": _places(phrase) for k, (phrase, _) in enumerate(BASE_PHRASES)})
         .withColumns({f"score_{n}": F.when(F.col("found").isNotNull(), _accepted(t, n)) for n, t in enumerate(templates)})
     )
@@ -257,13 +299,8 @@ WITH docs AS (
   SELECT no, w, n, row_number() OVER (PARTITION BY no ORDER BY n, w) AS r
   FROM (SELECT DISTINCT no, w FROM tw) JOIN df USING (w)
 ), idx AS (SELECT no, w, n, p FROM ranked JOIN tw USING (no, w) WHERE r <= {INDEXED_WORDS}
-), present AS (SELECT DISTINCT rid, w, n FROM w JOIN (SELECT DISTINCT w, n FROM idx) USING (w)
-), looked AS (
-  SELECT rid, w FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY n, w) AS r FROM present)
-  WHERE r <= {LOOKED_UP_WORDS}
 ), agreed AS (
-  SELECT rid, no, i - p AS o, count(DISTINCT w) AS c
-  FROM looked JOIN w USING (rid, w) JOIN idx USING (w) GROUP BY ALL HAVING count(DISTINCT w) >= {AGREEING_WORDS}
+  SELECT rid, no, i - p AS o, count(DISTINCT w) AS c FROM w JOIN idx USING (w) GROUP BY ALL HAVING count(DISTINCT w) >= {AGREEING_WORDS}
 ), best AS (SELECT rid, no, arg_max(o, (c, -o)) AS o FROM agreed GROUP BY ALL
 ), accepted AS (
   SELECT rid, label, len(list_filter(range(1, len(notice) + 1), lambda k: o + k >= 1 AND words[o + k] = notice[k])) / len(notice)::DOUBLE AS score
