@@ -140,62 +140,41 @@ def test_simhash_groups(spark, documents):
 
 
 def test_language_model_scores(spark, documents):
-    def tokens(text):
-        return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + [None]
+    """The model of order three in plain Python, every document."""
 
-    train = [tokens(r["text"]) for d, r in documents.items() if _crc(d, 7) != 2]
-    single = Counter(t for text in train for t in text)
-    pairs = Counter(p for text in train for p in zip([0, *text[:-1]], text))
-    total, after = Counter(), Counter()
-    for (v, _), n in pairs.items():
-        total[v] += n
-        after[v] += 1
-    n, size = sum(single.values()), len(single)
-    found = {r["doc_id"]: r for r in queries.op10_ngram_lm(spark, f"{DATA}/sf0.001").collect()}
-    better = []
-    for doc_id, doc in documents.items():
-        text, row = tokens(doc["text"]), found[doc_id]
-        uni = [(single[t] + 1) / (n + size + 1) for t in text]
-        assert row["held_out"] == (_crc(doc_id, 7) == 2)
-        assert (row["n_tokens"], row["train_tokens"]) == (len(text), n)
-        assert row["n_known"] == sum(single[t] > 0 for t in text)
-        assert row["base_score"] == pytest.approx(sum(map(math.log10, uni)), rel=1e-9)
-        full = []
-        for v, w, p in zip([0, *text[:-1]], text, uni):
-            f = max(pairs[v, w] - 0.75, 0) / total[v] if total[v] else 0.0
-            full.append(f + (0.75 * after[v] / total[v] if total[v] else 1.0) * p)
-        # a quantised probability is off by half a step of 0.04 decades at most
-        assert row["score"] == pytest.approx(sum(map(math.log10, full)), abs=0.021 * len(text) + 1e-6)
-        if row["held_out"]:
-            better.append(row["score"] > row["base_score"])
-    assert sum(better) > 0.5 * len(better)
-
-
-def test_language_model_has_order_three(spark, documents):
     def tokens(text):
         return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) + [None]
 
     train = [tokens(r["text"]) for d, r in documents.items() if _crc(d, 7) != 2]
     single = Counter(t for text in train for t in text)
-    known = sum(single.values()) + len(single) + 1
+    n, size = sum(single.values()), len(single)
     grams = {k: Counter(g for t in train for g in zip(*([*[0] * (k - 1), *t][i:] for i in range(k)))) for k in (2, 3)}
     total, after = Counter(), Counter()
-    for gram, n in [*grams[2].items(), *grams[3].items()]:
-        total[gram[:-1]] += n
+    for gram, times in [*grams[2].items(), *grams[3].items()]:
+        total[gram[:-1]] += times
         after[gram[:-1]] += 1
     found = {r["doc_id"]: r for r in queries.op10_ngram_lm(spark, f"{DATA}/sf0.001").collect()}
-    better = []
+    better, nearer = [], []
     for doc_id, doc in documents.items():
         text, row = tokens(doc["text"]), found[doc_id]
-        full = 0.0
+        assert row["held_out"] == (_crc(doc_id, 7) == 2)
+        assert (row["n_tokens"], row["train_tokens"]) == (len(text), n)
+        assert row["n_known"] == sum(single[t] > 0 for t in text)
+        sums = [0.0] * 3
         for u, v, w in zip([0, 0, *text], [0, *text], text):
-            p = (single[w] + 1) / known
+            p = [(single[w] + 1) / (n + size + 1)]
             for h in ((v,), (u, v)):
-                p = max(grams[len(h) + 1][*h, w] - 0.75, 0) / total[h] + 0.75 * after[h] / total[h] * p if total[h] else p
-            full += math.log10(p)
-        assert row["trigram_score"] == pytest.approx(full, abs=0.041 * len(text) + 1e-6)
-        better.append(abs(row["trigram_score"] - full) < 0.1 * abs(row["score"] - full))
-    assert sum(better) > 0.9 * len(better)
+                f = max(grams[len(h) + 1][*h, w] - 0.75, 0) / total[h] if total[h] else 0.0
+                p.append(f + (0.75 * after[h] / total[h] if total[h] else 1.0) * p[-1])
+            sums = [s + math.log10(x) for s, x in zip(sums, p)]
+        assert row["base_score"] == pytest.approx(sums[0], rel=1e-9)
+        # a quantised probability is off by half a step of 0.04 decades at most, once for each order
+        assert row["bigram_score"] == pytest.approx(sums[1], abs=0.021 * len(text) + 1e-6)
+        assert row["score"] == pytest.approx(sums[2], abs=0.041 * len(text) + 1e-6)
+        nearer.append(abs(row["score"] - sums[2]) < 0.1 * abs(row["bigram_score"] - sums[2]))
+        if row["held_out"]:
+            better.append(row["score"] > row["base_score"])
+    assert sum(better) > 0.5 * len(better) and sum(nearer) > 0.9 * len(nearer)
 
 
 def test_near_copies_reach_their_similarity(spark):
@@ -233,19 +212,77 @@ def test_near_copies_reach_their_similarity(spark):
     assert {r["doc_id"] for r in left} == {find(i) for i in sets}
 
 
-def test_every_notice_of_a_text_is_found(spark):
-    """Texts with all notices, and with one notice beside rare words of others."""
+@pytest.mark.parametrize("own", [20, 40])
+def test_common_runs_make_no_square_of_pairs(spark, monkeypatch, own):
+    """Texts that share one run of 60 words and little else: comparisons grow with the texts, and near
+    copies among them are found."""
+    from pyspark.sql import functions as F
+
+    from tillwise.llm import near_copies
+
+    dice = random.Random(6)
+    run = [f"run{k}" for k in range(60)]
+    compared, verified = [], near_copies._verified
+
+    def counting(pairs, texts, sizes):
+        compared.append(pairs.where("a <> b").select("a", "b").distinct().count())
+        return verified(pairs, texts, sizes)
+
+    monkeypatch.setattr(near_copies, "_verified", counting)
+    totals = []
+    for n in (300, 900):
+        compared.clear()
+        rows, planted = [], []
+        for k in range(n):
+            words = [f"w{dice.randrange(10**6)}" for _ in range(own)]
+            text = words[: own // 2] + run + words[own // 2 :]
+            rows.append(" ".join(text))
+            if k % 10 == 0:  # a copy with its first and last words changed: similarity 0.9 and more
+                planted.append((len(rows) - 1, len(rows)))
+                rows.append(" ".join(["x", *text[1:-1], "y"]))
+        table = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "id long, text string")
+        texts = table.select(F.xxhash64("text").alias("doc"), "text", "id")
+        roots = {r["id"]: r["root"] for r in texts.join(near_copies.groups(texts.select("doc", "text")), "doc").collect()}
+        joined = sum(roots[a] == roots[b] for a, b in planted)
+        assert joined >= 0.9 * len(planted)
+        assert len(set(roots.values())) == len(rows) - joined  # nothing else is joined
+        totals.append(sum(compared))
+    assert totals[1] < 4 * totals[0] + 100
+
+
+def test_every_notice_of_a_text_is_found(spark, tmp_path):
+    """Texts with all notices, with one notice beside rare words of others, with parts of notices,
+    and with signs whose lower case is ASCII; compared with SQL too."""
     from tillwise.llm import license_scan
 
     notices = [t.notice for t in license_scan.TEMPLATES]
     stray = "mozilla lesser commons unencumbered domain isc"
-    rows = [(0, f" {stray} . ".join(notices)), (1, "plain words")]
+    dice = random.Random(8)
+    rows = [(0, f" {stray} . ".join(notices)), (1, "plain words"), (2, None), (2, ""), (3, " ".join(notices[::-1]).upper())]
     rows += [(10 + k, f"{stray}. {notice}. {stray}") for k, notice in enumerate(notices)]
-    found = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k in range(60):  # damaged notices: words left out, changed, repeated
+        words = [w for n in dice.sample(notices, 2) for w in n.split()]
+        rows.append((100 + k, " ".join(dice.choice([w, w, w, w, "", "x", w + " " + w]) for w in words)))
+    rows += [(200, "This wor\u212a is licensed under a Creative Commons Attribution license"), (201, "m\u0130t license, MIT License")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
     assert found[0]["labels"] == ",".join(sorted({t.label for t in license_scan.TEMPLATES}))
     assert (found[1]["labels"], found[1]["score"]) == ("", 0.0)
+    assert (found[201]["n_base"], found[201]["n_words"]) == (1, 4)
     for k, template in enumerate(license_scan.TEMPLATES):
         assert template.label in found[10 + k]["labels"].split(",") and found[10 + k]["score"] == 1.0
+    docs.coalesce(1).write.parquet(f"{tmp_path}/d")
+    import duckdb
+
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/d/*.parquet')")
+    assert spark_rows(license_scan.scan(docs)) == duck_rows(connection, license_scan.ORACLE)
+
+
+def test_license_scan_moves_no_text(spark):
+    """The plan of the scan has no shuffle, no join and no checkpoint."""
+    plan = queries.op8_license_scan(spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "ExistingRDD" not in plan
 
 
 def test_token_counts_add_up(spark, documents):
