@@ -50,21 +50,36 @@ def test_elias_fano_is_compact_and_skips():
     assert (code.high.nbytes + code.low.nbytes) * 8 < (np.log2((1 << 40) / len(values)) + 3) * len(values)
 
 
-def test_trie_lookup():
-    dice = np.random.default_rng(2)
-    pairs = sorted({(int(c), int(s)) for c, s in zip(dice.integers(0, 50, 400), dice.integers(0, 1 << 39, 400))})
-    contexts = np.unique(np.array([c for c, _ in pairs], dtype=np.uint64))
-    sizes = np.array([sum(c == x for c, _ in pairs) for x in contexts.tolist()])
-    codes = np.arange(len(pairs), dtype=np.uint64) % 250 + 1
-    trie = ngram_lm.Trie(
-        contexts, np.full(len(contexts), 7, dtype=np.uint8), sizes, np.array([s for _, s in pairs], dtype=np.uint64), codes.astype(np.uint8)
-    )
-    asked = np.array([3, 60], dtype=np.uint64)
-    mine = [s for c, s in pairs if c == 3]
-    backs, found = trie.lookup(asked, np.array([len(mine) + 1, 1]), np.array([*mine[::-1], 5, mine[0]], dtype=np.uint64))
-    known = {p: int(c) for p, c in zip(pairs, codes)}
-    assert backs.tolist() == [7 if 3 in contexts else 0, 0]
-    assert found.tolist() == [known[3, s] for s in mine[::-1]] + [known.get((3, 5), 0), 0]
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 1 << 30), st.integers(0, 60), st.integers(1, 500), st.sampled_from([3, 1 << 14]))
+def test_trie_lookup(seed, n_contexts, n_pairs, together):
+    """Every gram that is in the trie is found at its place, and no other, empty contexts included."""
+    dice = np.random.default_rng(seed)
+    contexts = np.unique(dice.integers(0, 200, n_contexts)).astype(np.uint64)
+    pairs = sorted({(int(dice.choice(contexts)), int(s)) for s in dice.integers(0, 1 << int(dice.integers(3, 39)), n_pairs)}) if n_contexts else []
+    sizes = np.array([sum(c == x for c, _ in pairs) for x in contexts.tolist()], dtype=np.int64)
+    backs = (np.arange(len(contexts)) % 250 + 1).astype(np.uint8)
+    codes = (np.arange(len(pairs)) % 250 + 1).astype(np.uint8)
+    skip, ngram_lm.EliasFano.SKIP, ngram_lm.Trie.TOGETHER = ngram_lm.EliasFano.SKIP, 16, together
+    try:
+        trie = ngram_lm.Trie(contexts, backs, sizes, np.array([s for _, s in pairs], dtype=np.uint64), codes)
+        asked = np.unique(dice.integers(0, 220, 40)).astype(np.uint64)
+        sought = [[s for c, s in pairs if c == x][::-1] + dice.integers(0, 50, 3).tolist() for x in asked.tolist()]
+        flat = np.array([s for some in sought for s in some], dtype=np.uint64)
+        found_backs, places = trie.lookup(asked, np.array([len(s) for s in sought]), flat)
+    finally:
+        ngram_lm.EliasFano.SKIP, ngram_lm.Trie.TOGETHER = skip, 1 << 14
+    where = {pair: k for k, pair in enumerate(pairs)}
+    byte_of = dict(zip(contexts.tolist(), backs.tolist()))
+    assert found_backs.tolist() == [byte_of.get(x, 0) for x in asked.tolist()]
+    assert places.tolist() == [where.get((x, s), -1) for x, some in zip(asked.tolist(), sought) for s in some]
+
+
+@given(st.lists(st.integers(0, (1 << 63) - 1), max_size=50))
+def test_packed_numbers_come_back(values):
+    array = np.array(values, dtype=np.uint64)
+    assert ngram_lm.unpacked(ngram_lm.packed(array)).tolist() == values
+    assert ngram_lm.risen(ngram_lm.rising(np.sort(array))).tolist() == sorted(values)
 
 
 @settings(max_examples=60, deadline=None)
@@ -277,3 +292,27 @@ def test_longer_documents_are_taken_more_often(spark):
     docs = spark.createDataFrame([(k, "w " * (1000 if k % 2 else 1), f"s{k % 5}") for k in range(3000)], "doc_id long, text string, source string")
     means = {r["size"]: r["m"] for r in mixing.mix(docs).groupBy("size").agg(F.avg("copies").alias("m")).collect()}
     assert means[1000] > means[1]
+
+
+@pytest.mark.parametrize("n, substituted", [(10, 0), (11, 1), (12, 2), (13, 2), (14, 2), (15, 3), (16, 3), (17, 3), (18, 3), (19, 3), (20, 4), (21, 4)])
+def test_seeds_hit_every_pattern_of_the_criterion(n, substituted):
+    """All ways to substitute as many words as the rule for overlaps allows in a stretch."""
+    assert 5 * (n - substituted) >= 4 * n and n - substituted >= decontaminate.MIN_EQUAL
+    places = [frozenset(at + k for k in mask) for mask in decontaminate.SEEDS for at in range(n - mask[-1])]
+    for gone in combinations(range(n), substituted):
+        assert any(place.isdisjoint(gone) for place in places), gone
+
+
+def test_gazetteer_and_context_propose_names():
+    model = pii.Classifier()
+
+    def names(text):
+        return [text[a:b] for k, a, b, _ in pii.find(text, model) if pii.KINDS[k] == "name"]
+
+    assert names("Name: Maria Garcia, age 40") == ["Maria Garcia"]
+    assert names("Dear Anna,\nthank you") == ["Anna"]
+    assert names("Sincerely, James T. Smith") == ["James T. Smith"]
+    assert names("signed by Zoltan Weber.") == ["Zoltan Weber"]
+    assert names("we met James Smith and Karen Weber there") == ["James Smith", "Karen Weber"]
+    assert names("The Rose and the Crown. Anna went home. In Maria street") == []
+    assert names("renamed Widget, authored Things, filename Report") == []

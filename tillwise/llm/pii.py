@@ -2,7 +2,9 @@
 maximisation estimates how reliable each labeler is, and a span classifier trained
 on the resulting probabilities decides.
 
-Candidates come from wide patterns (the base patterns and looser ones). Six
+Candidates come from wide patterns (the base patterns and looser ones), from the gazetteer (a
+given name and the capitalised words after it) and from context words (what is
+capitalised after "Dear" or "Name:"). Six
 labelers look at a candidate and say yes, no or nothing: its strict shape, a
 gazetteer, words before it that speak for its kind, words that speak against it, its
 digits, and its edges. A candidate is then described by its kind, its votes and a
@@ -16,7 +18,7 @@ classifier accepts and that do not overlap a span of an earlier kind.
 
 Defined cases: a null text is empty and has no span; repeated rows get equal
 results; ties between overlapping candidates go to the kind listed first, then
-the earlier start; without candidates the prior reliabilities hold; an empty table
+the earlier start, then the longer one; without candidates the prior reliabilities hold; an empty table
 gives an empty result. All patterns take time in proportion to the text.
 """
 
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "id", "name")
 LABELERS = ("shape", "gazetteer", "words for", "words against", "digits", "edges")
-FEATURES = ("base shape", "separators", "long", "capital or at sign", "context word", "clean edges")
+FEATURES = ("base shape", "separators", "long", "capital or at sign", "context word", "clean edges", "gazetteer")
 
 #: Probability from which a candidate counts as personal data.
 ACCEPT = 0.7
@@ -80,6 +82,10 @@ _LOCAL_PHONE = re.compile(r"(?<![0-9A-Za-z+])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9
 _ID = re.compile(r"(?<![0-9A-Za-z-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7})(?![0-9A-Za-z-])")
 _NAME = re.compile(r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof)\.? ([A-Z][a-z]{1,20})(?: [A-Z][a-z]{1,20})?(?![A-Za-z])")
 _TITLES = ("Mr", "Ms", "Dr", "Prof")
+#: Capitalised words that may be a name, one to three of them, with initials in between.
+_PERSON = r"[A-Z][a-z\u00df-\u00f6\u00f8-\u00ff]{1,20}(?:(?: [A-Z]\.)? [A-Z][a-z\u00df-\u00f6\u00f8-\u00ff]{1,20}){0,2}"
+_AFTER_GIVEN = re.compile(r"(?<!\w)(?=[A-Z])(?:" + "|".join(sorted(n.capitalize() for n in GIVEN_NAMES)) + r")(?:(?: [A-Z]\.)? [A-Z][a-z\u00df-\u00f6\u00f8-\u00ff]{1,20}){1,2}(?!\w)")
+_AFTER_CONTEXT = re.compile(r"(?<!\w)(?i:" + "|".join(WORDS_FOR["name"]) + r")(?: by)?[:,]?[ \n](" + _PERSON + r")(?!\w)")
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -142,7 +148,10 @@ def wide_matches(text: str) -> list[tuple[int, int, int, bool]]:
         found += [(4, m.start(), m.end(), False) for m in _ID.finditer(text)]
     if any(title in text for title in _TITLES):
         found += [(5, m.start(), m.end(), False) for m in _NAME.finditer(text)]
-    return found
+    found += [(5, m.start(), m.end(), False) for m in _AFTER_GIVEN.finditer(text)]
+    found += [(5, m.start(1), m.end(1), False) for m in _AFTER_CONTEXT.finditer(text)]
+    # the same words may be proposed twice: the first proposal counts, and of a name the longest
+    return list(dict.fromkeys(found))
 
 
 def describe(text: str, kind: int, start: int, end: int, base: bool) -> int:
@@ -178,7 +187,7 @@ def describe(text: str, kind: int, start: int, end: int, base: bool) -> int:
         False if plain else (True if numeric and len(digits) > 6 else None),
         False if glued else None,
     )
-    has = (shape is True, any(c in span for c in " -()."), len(span) > 12, "@" in span or span[:1].isupper(), speaks_for, not glued)
+    has = (shape is True, any(c in span for c in " -()."), len(span) > 12, "@" in span or span[:1].isupper(), speaks_for, not glued, known is True and not numeric)
     code = kind
     for vote in votes:
         code = 3 * code + (1 if vote is None else 2 * vote)
@@ -227,7 +236,7 @@ class Classifier:
     """Logistic regression on a candidate's kind and features."""
 
     def __init__(self, weights: np.ndarray | None = None):
-        prior = np.concatenate((np.full(len(KINDS), -1.5), [3.0, 0.0, 0.0, 0.3, 2.0, 0.5]))
+        prior = np.concatenate((np.full(len(KINDS), -1.5), [3.0, 0.0, 0.0, 0.3, 2.0, 0.5, 2.0]))
         self.weights = prior if weights is None else weights
 
     def probability(self, codes: np.ndarray) -> np.ndarray:
@@ -267,7 +276,7 @@ def find(text: str | None, model: Classifier) -> list[tuple[int, int, int, bool]
     """Spans (kind, start, end, of the base) of a text, by kind and start."""
     matches = wide_matches(text or "")
     base = [m for m in matches if m[3]]
-    loose = sorted(m for m in matches if not m[3])
+    loose = sorted((m for m in matches if not m[3]), key=lambda m: (m[0], m[1], -m[2]))
     if loose:
         codes = np.array([describe(text, *m) for m in loose], dtype=np.int64)
         taken = sorted((start, end) for _, start, end, _ in base)
