@@ -519,8 +519,8 @@ BODIES: dict[str, str] = {
         GROUP BY category""",
     "repartition_invariance": f"""SELECT category, {ROWS}, {SUM},
         CAST(1 AS BIGINT) AS distinct_results FROM ok GROUP BY category""",
-    "partition_profile": """SELECT count(*) AS total_rows, true AS has_partitions,
-        true AS ordered FROM ok""",
+    "partition_profile": """SELECT count(*) AS total_rows, CAST(16 AS BIGINT) AS partitions,
+        true AS even FROM ok""",
     "benchmark_report_roundtrip": """SELECT 'join_merge' AS test_name,
         (SELECT count(*) FROM txn) || ' rows' AS detail, true AS timed
       UNION ALL SELECT 'join_broadcast', (SELECT count(*) FROM txn) || ' rows', true
