@@ -2,9 +2,11 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.rows import fact, raw
 from tillwise.domains import AMOUNT_RANGES, Rules
+from tillwise.functions.measures import fixed
 from tillwise.operators import joins, quality
 from tillwise.sinks.tables import write_json_report
 from tillwise.sources import literals
@@ -50,6 +52,25 @@ def test_declined_share_is_listed_only_above_ten_percent(spark):
     assert line.detail == "거절률 15.00% (기준: 10% 이하)"
 
 
+def test_ratios_are_rounded_from_the_exact_value(spark):
+    """1 of 3200 is 0.03125 % and 388 are 12.125 %, ties that go to the even digit."""
+    rows = distinct(3200)
+    rows[0]["region"] = None
+    for row in rows[:388]:
+        row["approval_status"] = "declined"
+    found = checks(spark, *rows)
+    assert found["Null 검사 [region]"].issue_ratio == f"{1 / 3200 * 100:.4f}%" == "0.0312%"
+    assert found["거절률 이상 탐지"].detail == "거절률 12.12% (기준: 10% 이하)"
+
+
+def test_fixed_decimals_are_those_of_python(spark):
+    total = 3_600_000
+    ratio = (F.col("id") / total * 100).alias("ratio")
+    df = spark.range(0, total, 97).select(ratio)
+    found = df.select("ratio", fixed(F.col("ratio"), 4).alias("four"), fixed(F.col("ratio"), 0).alias("none")).collect()
+    assert [(r.four, r.none) for r in found] == [(f"{r.ratio:.4f}", f"{r.ratio:.0f}") for r in found]
+
+
 def test_null_is_missing_but_not_invalid(spark):
     found = checks(spark, {"category": None, "card_no": None, "merchant": "a"}, {"merchant": "b"})
     assert found["카테고리 유효성 검사"].issue_count == 0

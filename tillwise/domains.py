@@ -71,7 +71,7 @@ CHECK_TEXTS = {
     "card_mask": ("카드번호 마스킹 검사", "****-****-****-NNNN 패턴 불일치"),
     "declined_share": ("거절률 이상 탐지", ""),
 }
-DECLINED_DETAIL = "거절률 %.2f%% (기준: %.0f%% 이하)"
+DECLINED_DETAIL = "거절률 %s%% (기준: %s%% 이하)"
 
 
 @dataclass(frozen=True)

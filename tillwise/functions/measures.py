@@ -76,3 +76,10 @@ def with_share_of_total(
     everything = F.sum(column)
     whole = everything.over(Window.partitionBy()) if closed else df.agg(everything).scalar()
     return df.withColumn(name, share(F.col(column), whole, digits))
+
+
+def fixed(column: Column, digits: int) -> Column:
+    """The number as text with so many decimals, rounded from its exact binary value, a tie to the even
+    digit: as Python's and C's `%.4f`. (`format_string` rounds the shortest text of the number half up.)"""
+    pattern = "0." + "0" * digits if digits else "0"
+    return F.call_function("format_number", column, F.lit(pattern))

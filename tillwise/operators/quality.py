@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from tillwise.domains import CHECK_TEXTS, DECLINED, DECLINED_DETAIL, MISSING_CHECK, Rules
 from tillwise.functions.calendar_cols import parse_timestamp
-from tillwise.functions.measures import mean_amount, share
+from tillwise.functions.measures import fixed, mean_amount, share
 from tillwise.operators.joins import unknown_merchants
 from tillwise.schema import FACT_COLUMNS, NUMBER_TEXTS
 
@@ -194,8 +194,8 @@ def _check_rows(
             .alias("status"),
             count.alias("issue_count"),
             pct.alias("issue_pct"),
-            F.format_string("%.4f%%", pct).alias("issue_ratio"),
-            F.when(F.col("share_detail"), F.format_string(DECLINED_DETAIL, pct, limit))
+            F.concat(fixed(pct, 4), F.lit("%")).alias("issue_ratio"),
+            F.when(F.col("share_detail"), F.format_string(DECLINED_DETAIL, fixed(pct, 2), fixed(limit, 0)))
             .when(count > 0, F.col("detail"))
             .otherwise(F.col("detail_if_clean"))
             .alias("detail"),
