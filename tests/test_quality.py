@@ -141,6 +141,16 @@ def test_report_can_be_written_twice(spark, tmp_path):
     assert [c["check_no"] for c in document["checks"]] == list(range(1, 24))
 
 
+def test_report_states_ratios_rounded_from_the_exact_value(spark, tmp_path):
+    rows = distinct(3200)
+    rows[0]["region"] = None
+    table = quality.quality_checks(raw(spark, *rows), as_of=AS_OF)
+    write_json_report(quality.report(table), str(tmp_path / "report"))
+    (part,) = Path(tmp_path / "report").glob("part-*.json")
+    ratios = {c["check"]: c["issue_ratio"] for c in json.loads(part.read_text())["checks"]}
+    assert ratios["Null 검사 [region]"] == "0.0312%"
+
+
 def test_amount_range_has_rounding_tolerance(spark):
     # minimum 1,250 rounds to 1,200; 1,199 is out of range
     rows = raw(spark, *[{"category": "교통", "amount": a} for a in (1200, 1199, 150_050, 150_051)])
