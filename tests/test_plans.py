@@ -198,3 +198,22 @@ def test_distinct_counts_shuffle_group_and_value(spark):
 def test_unknown_view_column_is_refused(spark):
     with pytest.raises(ValueError, match="colour"):
         views.transactions(spark, SMALL, ["amount", "colour"])
+
+
+def test_texts_are_made_after_the_joins(spark):
+    with conf(spark, autoBroadcastJoinThreshold="-1"):
+        text = plan(registry.txn(spark, SMALL, "transaction_id card_no amount", approved=False))
+    top = text.index("SortMergeJoin")
+    assert 0 < text.rindex("TXN") < top and 0 < text.rindex("****") < top
+
+
+def test_damaged_days_cost_one_pass_over_the_other_rows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(registry.jobs, "write_state", lambda _, everything, *more: seen.append(everything))
+    columns = "transaction_id transaction_ts approval_status amount"
+    fact = registry.txn(spark, SMALL, columns, approved=False)
+    registry._rerun(spark, fact, registry.RERUN_DAYS, ("daily_totals",))
+    leaves = seen[0]._jdf.queryExecution().optimizedPlan().collectLeaves()
+    paths = [leaves.apply(k).relation().location().rootPaths().mkString() for k in range(leaves.size())]
+    (whole,) = [p for p in paths if "rerun-input" in p]
+    assert {r[0] for r in spark.read.parquet(whole).select("approval_status").distinct().collect()} == {"approved"}

@@ -75,12 +75,13 @@ def daily_totals(df: DataFrame, grains: Iterable[str] = GRAINS) -> DataFrame:
     )
 
 
-def members_to_number(df: DataFrame) -> DataFrame:
-    """The (member, value) pairs that `daily_members` needs numbers for."""
+def members_to_number(df: DataFrame, members: Iterable[str] = ("card", "merchant")) -> DataFrame:
+    """The (member, value) pairs that `daily_members` needs numbers for; `daily_merchant_cards` and
+    grains other than the day need the cards only."""
     df = _complete(df)
-    cards = df.select(F.lit("card").alias("member"), F.col("card_no").alias("value"))
-    merchants = df.select(F.lit("merchant").alias("member"), F.col("merchant").alias("value"))
-    return cards.unionAll(merchants).where("value IS NOT NULL").distinct()
+    columns = {"card": "card_no", "merchant": "merchant"}
+    parts = [df.select(F.lit(m).alias("member"), F.col(columns[m]).alias("value")) for m in members]
+    return reduce(DataFrame.unionAll, parts).where("value IS NOT NULL").distinct()
 
 
 def _numbered(df: DataFrame, numbers: DataFrame, member: str, column: str, *keys: str) -> DataFrame:

@@ -129,7 +129,9 @@ def write_state(
     if "daily_totals" in tables:
         made["daily_totals"] = daily_state.daily_totals(kept, grains)
     if tables & {"daily_members", "daily_merchant_cards"}:
-        numbers = number_members(daily_state.members_to_number(kept), root)
+        of_day = "daily_members" in tables and "day" in grains  # merchants are counted by day only
+        members = ("card", "merchant") if of_day else ("card",)
+        numbers = number_members(daily_state.members_to_number(kept, members), root)
         if "daily_members" in tables:
             made["daily_members"] = daily_state.daily_members(kept, numbers, grains)
         if "daily_merchant_cards" in tables:
