@@ -217,3 +217,11 @@ def test_damaged_days_cost_one_pass_over_the_other_rows(spark, monkeypatch):
     paths = [leaves.apply(k).relation().location().rootPaths().mkString() for k in range(leaves.size())]
     (whole,) = [p for p in paths if "rerun-input" in p]
     assert {r[0] for r in spark.read.parquet(whole).select("approval_status").distinct().collect()} == {"approved"}
+
+
+def test_history_joins_the_fact_once(spark, monkeypatch):
+    seen, write, check = [], registry.write_parquet, quality.history_checks
+    monkeypatch.setattr(registry, "write_parquet", lambda df, *more: (seen.append(df), write(df, *more)))
+    monkeypatch.setattr(quality, "history_checks", lambda *given: (seen.extend(given[:2]), check(*given))[1])
+    registry.QUERIES["dq_history"](spark, SMALL)
+    assert [scans(plan(df)).count("lineitem") for df in seen] == [1, 0, 0]

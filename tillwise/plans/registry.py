@@ -653,16 +653,27 @@ def dq_history(spark, d):
     columns = "transaction_id transaction_ts card_no merchant amount"
     fact = txn(spark, d, columns, approved=False).withColumn("transaction_date", F.col("transaction_ts").cast("string"))
     number = F.substring("transaction_id", 4, 9).cast("bigint")  # of the order
-    batch = fact.where(F.col("txn_year") == YEAR)
-    before = fact.where(F.col("txn_year") < YEAR)
+    kept = ("transaction_id", *quality.DOUBLE_PAYMENT_KEYS, "txn_year", "txn_month")
+
+    def entry(role, where, **other):
+        values = [other.get(c, F.col(c)).alias(c) for c in kept]
+        return F.when(where, F.struct(F.lit(role).alias("role"), *values))
+
+    old, new = F.col("txn_year") < YEAR, F.col("txn_year") == YEAR
     # under another day, as ids come back
-    same_id = batch.where(number % 7 == 0).withColumns({"txn_year": F.lit(YEAR - 3), "txn_month": F.lit(1), "transaction_date": F.lit("")})
-    same_payment = batch.where(number % 11 == 0).withColumn("transaction_id", F.concat(F.lit("OLD"), "transaction_id"))
+    elsewhere = {"txn_year": F.lit(YEAR - 3), "txn_month": F.lit(1), "transaction_date": F.lit("")}
+    entries = [
+        entry("stored", old),
+        entry("stored", new & (number % 7 == 0), **elsewhere),
+        entry("stored", new & (number % 11 == 0), transaction_id=F.concat(F.lit("OLD"), "transaction_id")),
+        entry("batch", new),
+    ]
+    # the joined rows make all their entries at once: one pass, and the checks read what it wrote
+    rows = fact.where(old | new).select(F.inline(F.array_compact(F.array(*entries))))
     path = fresh_path(spark, "history")
-    kept = ("transaction_id", *quality.DOUBLE_PAYMENT_KEYS, "txn_date", "txn_year", "txn_month")
-    stored = reduce(DataFrame.unionByName, (p.select(*kept) for p in (before, same_id, same_payment)))
-    write_parquet(stored, path, ("txn_year", "txn_month"))
-    stored = readers.read_parquet(spark, path, stored.schema)
+    write_parquet(rows, path, ("role", "txn_year", "txn_month"))
+    written = readers.read_parquet(spark, path, rows.schema)
+    batch, stored = (written.where(F.col("role") == role).drop("role") for role in ("batch", "stored"))
     with quality.with_key_filter(spark):
         checks = quality.history_checks(batch, stored, AS_OF, (f"{YEAR}-01-01", f"{YEAR}-12-31"))
         return materialize(checks.drop("checked_at"), "history-checks")
